@@ -1,5 +1,5 @@
 """All check statements by query name."""
 
-from checks import retail, risk, surveys
+from checks import learning, retail, risk, surveys
 
-CHECKS = {**retail.CHECKS, **risk.CHECKS, **surveys.CHECKS}
+CHECKS = {**retail.CHECKS, **risk.CHECKS, **surveys.CHECKS, **learning.CHECKS}

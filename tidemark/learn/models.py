@@ -79,21 +79,21 @@ class Calibrated:
         self.model, self.curve = model, curve
 
     def score(self, df: DataFrame, name: str = "risk_score") -> DataFrame:
-        raw = score(self.model, df, "_raw")
+        raw = score(self.model, df, "raw_score")
         mapped = self.curve.transform(raw).withColumn(name, F.col("_calibrated"))
-        return without_working_columns(mapped)
+        return without_working_columns(mapped).drop("raw_score")
 
 
 def calibrate(model: PipelineModel, validation: DataFrame, label: str = LABEL) -> Calibrated:
     """Isotonic calibration.  Rows with one score enter as one weighted point,
     which gives the same curve as the single rows."""
     points = (
-        score(model, validation, "_raw")
-        .groupBy("_raw")
+        score(model, validation, "raw_score")
+        .groupBy("raw_score")
         .agg(F.avg(F.col(label).cast("double")).alias("_rate"), F.count(F.lit(1)).cast("double").alias("_n"))
     )
     curve = IsotonicRegression(
-        featuresCol="_raw", labelCol="_rate", weightCol="_n", predictionCol="_calibrated"
+        featuresCol="raw_score", labelCol="_rate", weightCol="_n", predictionCol="_calibrated"
     ).fit(points)
     return Calibrated(model, curve)
 

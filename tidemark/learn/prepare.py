@@ -28,7 +28,7 @@ def preparation(numeric: Sequence[str], categories: Sequence[str], scale: bool =
             StringIndexer(
                 inputCols=list(categories), outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"
             ),
-            OneHotEncoder(inputCols=index, outputCols=encoded, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=index, outputCols=encoded, dropLast=True),
         ]
     else:
         encoded = []
