@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio_or_null
 from tidemark.operators.ordered import running_totals
+from tidemark.session import measured
 
 
 def score_counts(df: DataFrame, score: str, label: str, group: Sequence[str] = ()) -> DataFrame:
@@ -111,37 +112,53 @@ def class_report(
     df: DataFrame, score: str, label: str, threshold: float, names: Sequence[str] = ("Healthy", "At-Risk")
 ) -> DataFrame:
     """Per-class precision, recall, F1 and support at a threshold, plus the
-    macro and the support-weighted average.  Undefined ratios count as 0."""
-    called = df.select(
-        F.when(F.col(score) >= threshold, 1).otherwise(0).alias("called"), F.col(label).alias("truth")
+    macro and the support-weighted average, from one pass over the rows.
+    Undefined ratios count as 0."""
+    hit, truth = F.col(score) >= threshold, F.col(label) == 1
+    cells = df.agg(
+        F.count_if(hit & truth).alias("tp"),
+        F.count_if(hit & ~truth).alias("fp"),
+        F.count_if(~hit & truth).alias("fn"),
+        F.count_if(~hit & ~truth).alias("tn"),
     )
-    rows = []
-    for value, name in enumerate(names):
-        cells = confusion(called, "called", "truth", positive=value)
-        rows.append(
-            cells.select(
-                F.lit(name).alias("class"),
-                *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1")],
-                (F.col("tp") + F.col("fn")).alias("support"),
-            )
+
+    def ratio(top: Column, bottom: Column) -> Column:
+        return F.coalesce(ratio_or_null(top, bottom), F.lit(0.0))
+
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    wrong = fp + fn
+    lines = [
+        F.struct(
+            F.lit(name).alias("class"),
+            ratio(right, right + called_wrongly).alias("precision"),
+            ratio(right, right + missed).alias("recall"),
+            ratio(2 * right, 2 * right + wrong).alias("f1"),
+            (right + missed).alias("support"),
         )
-    classes = reduce(DataFrame.unionByName, rows)
-    support = F.sum("support")
-    macro = classes.agg(*[F.avg(c).alias(c) for c in ("precision", "recall", "f1")], support.alias("support"))
-    weighted = classes.agg(
-        *[
-            F.coalesce(F.try_divide(F.sum(F.col(c) * F.col("support")), support.cast("double")), F.lit(0.0)).alias(c)
-            for c in ("precision", "recall", "f1")
-        ],
-        support.alias("support"),
-    )
-    for name, frame in (("macro avg", macro), ("weighted avg", weighted)):
-        classes = classes.unionByName(frame.withColumn("class", F.lit(name)))
-    return classes
+        for name, right, called_wrongly, missed in ((names[0], tn, fn, fp), (names[1], tp, fp, fn))
+    ]
+    pair = cells.select(lines[0].alias("a"), lines[1].alias("b"))
+    ratios = ("precision", "recall", "f1")
+    support = F.col("a.support") + F.col("b.support")
+    macro = [((F.col(f"a.{r}") + F.col(f"b.{r}")) / 2).alias(r) for r in ratios]
+    weighted = [
+        ratio(F.col(f"a.{r}") * F.col("a.support") + F.col(f"b.{r}") * F.col("b.support"), support).alias(r)
+        for r in ratios
+    ]
+    averages = [
+        F.struct(F.lit(name).alias("class"), *values, support.alias("support"))
+        for name, values in (("macro avg", macro), ("weighted avg", weighted))
+    ]
+    return pair.select(F.inline(F.array("a", "b", *averages)))
 
 
 def evaluate(df: DataFrame, score: str, label: str, model: str) -> DataFrame:
-    """The four headline metrics of one model, four decimals."""
+    """The four headline metrics of one model, four decimals.
+
+    The scores are written once: each metric looks at them again, and the model
+    should not run again for it.
+    """
+    df = measured(df.select(score, label), "scores")
     parts = {
         "roc_auc": roc_auc(df, score, label).scalar(),
         "pr_auc": average_precision(df, score, label).scalar(),

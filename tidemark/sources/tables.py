@@ -198,18 +198,29 @@ def survey_long(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
-    """Numeric records with zeros that mean missing, and a 0/1 outcome."""
+    """Numeric records with zeros that mean missing, and a 0/1 outcome.
+
+    The texts are reduced to counts before the join, so they are never shuffled.
+    """
     text = F.col("text")
+    counted = table(spark, folder, "documents").select(
+        "doc_id",
+        F.col("n_chars").cast("double").alias("length"),
+        char_count(text, " ").cast("double").alias("spaces"),
+        char_count(text, ".").cast("double").alias("periods"),
+        char_count(text, "!").cast("double").alias("marks"),
+        char_count(text, "0").cast("double").alias("zeros"),
+    )
     return (
         table(spark, folder, "labels")
-        .join(table(spark, folder, "documents"), "doc_id")
+        .join(counted, "doc_id")
         .select(
             F.col("doc_id").alias("record_id"),
-            F.col("n_chars").cast("double").alias("length"),
-            char_count(text, " ").cast("double").alias("spaces"),
-            char_count(text, ".").cast("double").alias("periods"),
-            char_count(text, "!").cast("double").alias("marks"),
-            char_count(text, "0").cast("double").alias("zeros"),
+            "length",
+            "spaces",
+            "periods",
+            "marks",
+            "zeros",
             F.col("toxic").cast("double").alias("toxic"),
             (1 - F.col("quality")).cast("int").alias("outcome"),
         )
