@@ -47,6 +47,23 @@ def test_group_quantiles_match_pandas(spark, skewed):
     assert got.to_dict() == pytest.approx(want.to_dict())
 
 
+def test_quantiles_of_many_rows_use_brackets_and_stay_exact(spark):
+    """Enough rows that most values lie outside the brackets; one value is hot."""
+    df = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(500.25)).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 997.0).alias("v"),
+        (F.col("id") % 2).alias("g"),
+    )
+    frame = df.toPandas()
+    probs = {"a": 0.001, "b": 0.0015, "c": 0.25, "d": 0.5, "e": 0.75, "f": 0.9995, "top": 1.0}
+    got = exact_quantiles(df.repartition(9), "v", probs).first().asDict()
+    for name, p in probs.items():
+        assert got[name] == pytest.approx(np.quantile(frame["v"], p), abs=1e-9), name
+    by_group = exact_quantiles(df, "v", probs, ["g"]).toPandas().set_index("g")
+    for g, part in frame.groupby("g"):
+        for name, p in probs.items():
+            assert by_group.loc[g, name] == pytest.approx(np.quantile(part["v"], p), abs=1e-9), name
+
+
 def test_rank_orders_by_several_columns(spark):
     rows = [(i % 3, f"name{i:04d}") for i in range(500)]
     got = with_rank(spark.createDataFrame(rows, "f int, name string"), ["f", "name"], "r").toPandas()

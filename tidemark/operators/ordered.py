@@ -12,12 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import measured
+
 RANGES = 1024
+ACCURACY = 10_000  # the sketch is off by at most 1/ACCURACY of the ranks
+MARGIN = 0.001     # ten times that, to either side
 
 
 def _cut_points(keys: DataFrame, key: str, ranges: int) -> DataFrame:
@@ -114,18 +118,61 @@ def value_ranks(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFra
     return running_totals(counts, value, ["n"], group)
 
 
+def _brackets(values: DataFrame, probabilities: Sequence[float], group: Sequence[str]) -> DataFrame:
+    """Per group and probability, two values that enclose the exact quantile.
+
+    The sketch is off by at most ``1 / ACCURACY`` of the ranks and the bracket
+    reaches ``MARGIN`` to either side.  Where the margin is less than a few rows
+    the bracket is the whole group.
+    """
+    ends = [min(max(p + side * MARGIN, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
+    sketch = values.groupBy(*group).agg(
+        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+    )
+    small = F.col("_n") * MARGIN < 4
+    bounds = []
+    for k, p in enumerate(probabilities):
+        low, high = F.get("_ends", F.lit(2 * k)), F.get("_ends", F.lit(2 * k + 1))
+        bounds += [
+            F.when(small | F.lit(p <= MARGIN), F.col("_min")).otherwise(low).alias(f"low{k}"),
+            F.when(small | F.lit(p >= 1 - MARGIN), F.col("_max")).otherwise(high).alias(f"high{k}"),
+        ]
+    return sketch.select(*group, F.struct("_min", *bounds).alias("_b"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     quantiles: dict[str, float],
     group: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles: one row per group."""
-    ranked = value_ranks(df, value, group)
+    """Exact, linearly interpolated quantiles as doubles: one row per group.
+
+    A mergeable sketch first brackets each quantile.  In a second pass the
+    values inside the brackets are counted one by one and those between two
+    brackets only as a sum, so hardly anything is shuffled, and the ranks in
+    the brackets are still exact.
+    """
+    group = list(group)
+    values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"))
+    probabilities = sorted({float(q) for q in quantiles.values()})
+    brackets = _brackets(values, probabilities, group)
+    if group:
+        placed = values.join(measured(brackets, "brackets"), group)
+    else:
+        placed = values.withColumn("_b", brackets.scalar())
+    v, spots = F.col("_v"), range(len(probabilities))
+    inside = reduce(or_, [(v >= F.col(f"_b.low{k}")) & (v <= F.col(f"_b.high{k}")) for k in spots])
+    below = F.greatest(F.col("_b._min"), *[F.when(v > F.col(f"_b.high{k}"), F.col(f"_b.high{k}")) for k in spots])
+    reduced = placed.select(*group, F.when(inside, v).otherwise(below).alias("_v"))
+    ranked = value_ranks(reduced, "_v", group)
 
     def at(position: Column) -> Column:
         here = (F.col("n_before") <= position) & (position < F.col("n_before") + F.col("n"))
-        return F.max(F.when(here, F.col(value).cast("double")))
+        return F.max(F.when(here, F.col("_v")))
 
     picks = []
     for name, q in quantiles.items():

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import rfm_segment
 from tidemark.operators.ordered import exact_quantiles, with_rank
+from tidemark.session import measured
 from tidemark.sources.files import inline_table
 
 # --- fixed values: recommended action per segment -----------------------------
@@ -49,7 +50,10 @@ def _quintile(value: Column, edges: Column) -> Column:
 
 def rfm_scores(base: DataFrame) -> DataFrame:
     """Quintile scores.  Recency and monetary use exact interpolated quantile
-    edges; frequency is ranked first (ties by name), so its quintiles are even."""
+    edges; frequency is ranked first (ties by name), so its quintiles are even.
+
+    The customer table is written once: edges, ranks and scores all read it."""
+    base = measured(base, "rfm_base")
     r_edges = exact_quantiles(base, "recency", QUINTILES).select(F.struct(*QUINTILES)).scalar()
     m_edges = exact_quantiles(base, "monetary", QUINTILES).select(F.struct(*QUINTILES)).scalar()
     size = base.agg(F.count(F.lit(1))).scalar()

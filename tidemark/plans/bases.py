@@ -40,8 +40,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
 
 def segments(spark: SparkSession, folder: str) -> DataFrame:
     def build() -> DataFrame:
-        base = staged(spark, folder, "rfm_base", lambda: rfm.rfm_base(sales(spark, folder)))
-        return rfm.with_segment(rfm.rfm_scores(base))
+        return rfm.with_segment(rfm.rfm_scores(rfm.rfm_base(sales(spark, folder))))
 
     return staged(tune(spark), folder, "rfm_segments", build)
 
