@@ -29,7 +29,7 @@ HEADLINE = [
 BUILDS = {
     "build_sales_clean": bases.sales,
     "build_segments": bases.segments,
-    "build_star": lambda spark, folder: bases.star_tables(spark, folder)["fact_sales"],
+    "build_star": lambda spark, folder: dict(bases.star_tables(spark, folder)),
     "build_panel": bases.entity_panel,
     "build_features": bases.features,
 }

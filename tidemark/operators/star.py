@@ -24,15 +24,20 @@ def dim_region(sales: DataFrame) -> DataFrame:
     return with_rank(names, ["region_name"], "region_key").select("region_key", "region_name")
 
 
-def dim_customer(sales: DataFrame, segments: DataFrame) -> DataFrame:
-    """First line of every customer plus the segment, keyed in name order."""
+def customer_keys(sales: DataFrame) -> DataFrame:
+    """Surrogate key per customer name, in name order."""
+    names = sales.select("customer_name").dropna().distinct()
+    return with_rank(names, ["customer_name"], "customer_key")
+
+
+def dim_customer(sales: DataFrame, segments: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """First line of every customer plus key and segment."""
     traits = ["customer_name", "customer_age", "gender", "income_bracket", "age_band"]
     lines = sales.select("order_id", *traits).where(F.col("customer_name").isNotNull())
     first = keep_first(lines, ["customer_name"], ["order_id", *traits[1:]])
     scored = segments.select("customer_name", "segment", "rfm_total")
-    return with_rank(
-        first.join(scored, "customer_name", "left"), ["customer_name"], "customer_key"
-    ).select(
+    keyed = first.join(customer_keys(sales) if keys is None else keys, "customer_name")
+    return keyed.join(scored, "customer_name", "left").select(
         "customer_key",
         "customer_name",
         F.col("customer_age").alias("age"),
@@ -99,7 +104,10 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 def fact_sales(
     sales: DataFrame, customers: DataFrame, products: DataFrame, regions: DataFrame
 ) -> DataFrame:
-    """Natural keys -> surrogate keys.  Date keys are computed, not looked up."""
+    """Natural keys -> surrogate keys.  Date keys are computed, not looked up.
+
+    ``customers`` needs the name and key only.
+    """
     keyed = (
         sales.join(customers.select("customer_key", "customer_name"), "customer_name", "left")
         .join(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,22 +47,44 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
     return staged(tune(spark), folder, "rfm_segments", build)
 
 
-def star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    lines = sales(spark, folder)
-    dims = {
-        "dim_region": lambda: star.dim_region(lines),
-        "dim_customer": lambda: star.dim_customer(lines, segments(spark, folder)),
-        "dim_product": lambda: star.dim_product(lines),
-        "dim_date": lambda: star.dim_date(lines),
-    }
-    built = {name: staged(spark, folder, name, make) for name, make in dims.items()}
-    built["fact_sales"] = staged(
-        spark,
-        folder,
-        "fact_sales",
-        lambda: star.fact_sales(lines, built["dim_customer"], built["dim_product"], built["dim_region"]),
-    )
-    return built
+def customer_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return staged(spark, folder, "customer_keys", lambda: star.customer_keys(sales(spark, folder)))
+
+
+class StarTables(Mapping):
+    """The star's tables by name; each is built when it is first asked for, so a
+    report waits only for the tables it reads."""
+
+    NAMES = ("dim_region", "dim_customer", "dim_product", "dim_date", "fact_sales")
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        spark, folder = self.spark, self.folder
+        lines = sales(spark, folder)
+        builders = {
+            "dim_region": lambda: star.dim_region(lines),
+            "dim_customer": lambda: star.dim_customer(
+                lines, segments(spark, folder), customer_keys(spark, folder)
+            ),
+            "dim_product": lambda: star.dim_product(lines),
+            "dim_date": lambda: star.dim_date(lines),
+            "fact_sales": lambda: star.fact_sales(
+                lines, customer_keys(spark, folder), self["dim_product"], self["dim_region"]
+            ),
+        }
+        return staged(spark, folder, name, builders[name])
+
+
+def star_tables(spark: SparkSession, folder: str) -> StarTables:
+    return StarTables(tune(spark), folder)
 
 
 def entity_panel(spark: SparkSession, folder: str) -> DataFrame:

@@ -141,7 +141,8 @@ def op_dim_date(spark, folder):
 @query
 def op_fact_sales(spark, folder):
     built = star_tables(spark, folder)
-    return star.fact_sales(sales(spark, folder), built["dim_customer"], built["dim_product"], built["dim_region"])
+    keys = built["dim_customer"].select("customer_key", "customer_name")
+    return star.fact_sales(sales(spark, folder), keys, built["dim_product"], built["dim_region"])
 
 
 # --- cleaning ---------------------------------------------------------------------
