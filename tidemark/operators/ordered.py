@@ -42,17 +42,20 @@ def _cut_points(keys: DataFrame, key: str, ranges: int) -> DataFrame:
 def _with_range(counts: DataFrame, key: str, ranges: int) -> DataFrame:
     """Add ``_range``: how many cut points lie below the key, by binary search.
 
-    One projection per halving keeps the search in generated code.
+    Every halving is a column of its own that builds on the one before, which
+    keeps the search in generated code.
     """
-    placed = counts.withColumn("_cuts", _cut_points(counts, key, ranges).scalar())
-    placed = placed.withColumn("_range", F.lit(0))
-    for bit in reversed(range((ranges - 1).bit_length())):
-        step = 1 << bit
-        probe = F.get(F.col("_cuts"), F.col("_range") + (step - 1))
-        placed = placed.withColumn(
-            "_range", F.col("_range") + F.when(probe < F.col(key), step).otherwise(0)
-        )
-    return placed.drop("_cuts")
+    halvings = list(reversed(range((ranges - 1).bit_length())))
+    found, steps = F.lit(0), []
+    for bit in halvings:
+        probe = F.get(F.col("_cuts"), found + ((1 << bit) - 1))
+        steps.append((found + F.when(probe < F.col(key), 1 << bit).otherwise(0)).alias(f"_step{bit}"))
+        found = F.col(f"_step{bit}")
+    return (
+        counts.withColumn("_cuts", _cut_points(counts, key, ranges).scalar())
+        .select(*counts.columns, "_cuts", *steps)
+        .select(*counts.columns, found.alias("_range"))
+    )
 
 
 def running_totals(
@@ -100,12 +103,14 @@ def running_totals(
     if not group:
         offsets = F.broadcast(offsets)  # at most ``ranges`` rows
     match = reduce(and_, [placed[k].eqNullSafe(offsets[f"_of_{k}"]) for k in keys])
-    joined = placed.join(offsets, match).drop(*[f"_of_{k}" for k in keys])
-    for w in weights:
-        joined = joined.withColumn(
-            f"{w}_before", F.col(f"_{w}_offset") + F.coalesce(F.sum(w).over(inside), F.lit(0))
-        )
-    return joined.drop("_range", *[f"_{w}_offset" for w in weights])
+    return placed.join(offsets, match).select(
+        *counts.columns,
+        *[f"{w}_total" for w in weights],
+        *[
+            (F.col(f"_{w}_offset") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_before")
+            for w in weights
+        ],
+    )
 
 
 def value_ranks(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import rfm_segment
 from tidemark.operators.ordered import exact_quantiles, with_rank
+from tidemark.operators.profile import long_form
 from tidemark.session import measured
 from tidemark.sources.files import inline_table
 
@@ -54,11 +55,15 @@ def rfm_scores(base: DataFrame) -> DataFrame:
 
     The customer table is written once: edges, ranks and scores all read it."""
     base = measured(base, "rfm_base")
-    r_edges = exact_quantiles(base, "recency", QUINTILES).select(F.struct(*QUINTILES)).scalar()
-    m_edges = exact_quantiles(base, "monetary", QUINTILES).select(F.struct(*QUINTILES)).scalar()
+    long = long_form(base, ["recency", "monetary"])
+    edges = measured(exact_quantiles(long, "value", QUINTILES, ["column"]), "rfm_edges")
+
+    def edges_of(column: str) -> Column:
+        return edges.where(F.col("column") == column).select(F.struct(*QUINTILES)).scalar()
+
     size = base.agg(F.count(F.lit(1))).scalar()
     ranked = with_rank(base, ["frequency", "customer_name"], "_rank").withColumns(
-        {"_r": r_edges, "_m": m_edges, "_size": size}
+        {"_r": edges_of("recency"), "_m": edges_of("monetary"), "_size": size}
     )
     even = F.try_divide((F.col("_rank") - 1) * 5, F.col("_size") - 1)
     scored = ranked.withColumns(
