@@ -71,8 +71,11 @@ def running_totals(
     ``counts`` holds one row per (group, key), neither of them null.  ``before``
     sums the weight over the keys ahead of this one in its group (the smaller
     ones, or the larger ones if ``descending``), ``total`` over the whole group.
+    The counts are written once, as the cut points, the offsets and the totals
+    each look at them.
     """
     group = list(group)
+    counts = measured(counts, "counts")
     placed = _with_range(counts, key, ranges)
 
     def ahead(order: str) -> Column:
