@@ -34,8 +34,8 @@ for _column, _names in (("sector", SECTORS), ("region", REGIONS), ("initial_fund
 check("ml_preprocess", " UNION ALL ".join(_slots), "features")
 _columns = ["length", "spaces", "periods", "marks", "zeros", "toxic"]
 _scaled = ", ".join(
-    f"""{rnd(f'''({c} - (SELECT avg({c}) FROM records WHERE record_id % 4 <> 0))
-        / (SELECT CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END FROM records WHERE record_id % 4 <> 0)''')} AS {c}"""
+    f"""{rnd(f'''({c} - (SELECT avg({c}) FROM records WHERE toxic = 0))
+        / (SELECT CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END FROM records WHERE toxic = 0)''')} AS {c}"""
     for c in _columns
 )
 check("ml_standardize", f"SELECT record_id, {_scaled}, outcome FROM records", "records")

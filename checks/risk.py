@@ -50,7 +50,7 @@ check(
     f"SELECT {KEYS}, {rounded(['mrr_latest', 'runway_months_latest', 'composite_risk_index'])} FROM {_latest.format('features')}",
     "features",
 )
-check("op_trajectory", f"SELECT {KEYS}, {rnd('risk_score')} AS risk_score FROM scored WHERE company_id % 10 = 7", "scored")
+check("op_trajectory", f"SELECT {KEYS}, {rnd('risk_score')} AS risk_score FROM scored", "scored")
 _fact = rounded(
     ["risk_score", "risk_tier", "runway_months", "mrr", "churn_rate", "ltv_cac_ratio", "burn_multiple", "composite_risk_index",
      "consecutive_low_runway_months", "actual_label_fail_within_6m"],
@@ -169,11 +169,11 @@ check(
 )
 check(
     "op_sort_dynamic",
-    f"""SELECT * FROM (SELECT 'risk_score' AS sort_key, company_id, {rnd('risk_score')} AS value FROM {_latest.format('scored')}
-                       ORDER BY risk_score DESC, company_id LIMIT 50)
+    f"""SELECT 'risk_score' AS sort_key, company_id, {rnd('risk_score')} AS value,
+               row_number() OVER (ORDER BY risk_score DESC, company_id) AS position FROM {_latest.format('scored')}
         UNION ALL
-        SELECT * FROM (SELECT 'runway_months_latest', company_id, {rnd('runway_months_latest')} FROM {_latest.format('scored')}
-                       ORDER BY runway_months_latest, company_id LIMIT 50)""",
+        SELECT 'runway_months_latest', company_id, {rnd('runway_months_latest')},
+               row_number() OVER (ORDER BY runway_months_latest, company_id) FROM {_latest.format('scored')}""",
     "scored",
 )
 

@@ -11,6 +11,8 @@ the panel is spread over many tasks:
 
 Run lengths and "rows since" counters are differences to a running maximum of
 row positions, so they need nothing beyond that.
+
+A panel holds one row per entity and month; ``clean.keep_first`` makes it so.
 """
 
 from __future__ import annotations

@@ -132,8 +132,9 @@ def ml_preprocess(spark, folder):
 
 @query
 def ml_standardize(spark, folder):
+    """Fitted on the rows that are not toxic, applied to all rows."""
     rows = bases.records(spark, folder)
-    return prepare.standardize(rows.where("record_id % 4 <> 0"), rows, RECORD_COLUMNS)
+    return prepare.standardize(rows.where("toxic = 0"), rows, RECORD_COLUMNS)
 
 
 # --- fits -------------------------------------------------------------------------
@@ -233,9 +234,9 @@ def op_model_io(spark, folder):
     fit = model(spark, folder, "LogisticRegression")
     path = fresh_path(spark, "model")
     models.save_model(fit, path)
-    test = part(spark, folder, "test")
-    before = models.score(fit, test).select(*KEYS, F.col("risk_score").alias("before"))
-    after = models.score(models.load_model(path), test).select(*KEYS, F.col("risk_score").alias("after"))
+    rows = bases.features(spark, folder)
+    before = models.score(fit, rows).select(*KEYS, F.col("risk_score").alias("before"))
+    after = models.score(models.load_model(path), rows).select(*KEYS, F.col("risk_score").alias("after"))
     return before.join(after, KEYS)
 
 
@@ -283,7 +284,7 @@ def ml_cohort_auc(spark, folder):
 
 @query
 def ml_score_tier(spark, folder):
-    scored = scenarios.score_tier(part(spark, folder, "test"), calibrated(spark, folder).score)
+    scored = scenarios.score_tier(bases.features(spark, folder), calibrated(spark, folder).score)
     return scored.select(*KEYS, "risk_score", "risk_tier")
 
 
@@ -326,9 +327,9 @@ def ml_monotonic_check(spark, folder):
 
 @query
 def ml_contributions(spark, folder):
-    """Shapley contributions of the boosted model on the test part."""
+    """Shapley contributions of the boosted model for every feature row."""
     fit = model(spark, folder, "BoostedDepth5")
-    prepared = fit.transform(part(spark, folder, "test"))
+    prepared = fit.transform(bases.features(spark, folder))
     names = prepare.feature_names(prepared, NUMERIC_FEATURES)
     return explain.tree_contributions(prepared, fit.stages[-1], names, KEYS)
 

@@ -497,8 +497,7 @@ def op_segment_summary(spark, folder):
 
 @query
 def op_prior_calendar_month(spark, folder):
-    some = sales(spark, folder).where(F.month("inward_date") % 5 != 0)
-    return growth.calendar_growth(growth.monthly_revenue(some))
+    return growth.calendar_growth(growth.monthly_revenue(sales(spark, folder)))
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import clip, guarded_ratio
 from tidemark.functions.rules import outcome_label, risk_tier
-from tidemark.operators import panel, profile, risk_reports, star
+from tidemark.operators import ordered, panel, profile, risk_reports, star
 from tidemark.plans import bases
 from tidemark.plans.bases import publish
 from tidemark.schemas import ENGINEERED, FEATURES, LABEL
@@ -117,9 +117,8 @@ def op_group_sample(spark, folder):
 
 @query
 def op_trajectory(spark, folder):
-    """Score per month of the entities whose id ends in 7, in month order."""
-    some = bases.rule_scored(spark, folder).where("company_id % 10 = 7")
-    return some.select(*KEYS, "risk_score").orderBy(*KEYS)
+    """Score per month of every entity, in month order."""
+    return bases.rule_scored(spark, folder).select(*KEYS, "risk_score").orderBy(*KEYS)
 
 
 # --- derivations ------------------------------------------------------------------
@@ -259,14 +258,17 @@ def op_risk_trend(spark, folder):
 
 @query
 def op_sort_dynamic(spark, folder):
-    """Both directions of the sort, as the first 50 rows of each."""
+    """Both directions of the sort; the position in it is part of the result."""
     latest = panel.latest_row(bases.rule_scored(spark, folder))
-    parts = [
-        risk_reports.sort_portfolio(latest, key, "company_id").limit(50).select(F.lit(key).alias("sort_key"), "company_id", key)
-        for key in ("risk_score", "runway_months_latest")
-    ]
-    low, high = (p.withColumnRenamed(p.columns[2], "value") for p in parts)
-    return low.unionByName(high)
+    parts = []
+    for key, first in (("risk_score", -F.col("risk_score")), ("runway_months_latest", F.col("runway_months_latest"))):
+        placed = ordered.with_rank(latest.withColumn("first", first), ["first", "company_id"], "position")
+        parts.append(
+            risk_reports.sort_portfolio(placed, key, "company_id").select(
+                F.lit(key).alias("sort_key"), "company_id", F.col(key).alias("value"), "position"
+            )
+        )
+    return parts[0].unionByName(parts[1])
 
 
 # --- profiles ---------------------------------------------------------------------
