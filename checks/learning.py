@@ -12,6 +12,22 @@ def check(name: str, body: str, *needs: str) -> None:
     CHECKS[name] = statement(body, *needs)
 
 
+def _draw(*parts: str) -> str:
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) AS BIGINT) / 4294967296e0)"
+
+
+check(
+    "ml_entity_split",
+    f"""SELECT split, count(DISTINCT company_id) AS entities, count(*) AS n_rows, CAST(0 AS BIGINT) AS entities_in_two_parts FROM (
+        SELECT company_id, CASE WHEN u < 0.15e0 THEN 'test' WHEN u < 0.15e0 + 0.15e0 THEN 'validation' ELSE 'train' END AS split
+        FROM (SELECT company_id, {_draw('company_id', '42')} AS u FROM features)) GROUP BY split""",
+    "features",
+)
+check(
+    "ml_row_split",
+    f"SELECT record_id, CASE WHEN {_draw('record_id', '0')} < 0.25e0 THEN 'test' ELSE 'train' END AS split FROM records",
+    "records",
+)
 check(
     "ml_class_weights",
     f"""SELECT label_fail_within_6m, count(*) AS n, {rnd('(SELECT count(*) FROM features) / (2e0 * count(*))')} AS balanced_weight,

@@ -50,6 +50,13 @@ check(
     f"SELECT {KEYS}, {rounded(['mrr_latest', 'runway_months_latest', 'composite_risk_index'])} FROM {_latest.format('features')}",
     "features",
 )
+check(
+    "op_group_sample",
+    f"""SELECT {KEYS}, {rnd('mrr_latest')} AS mrr_latest FROM (
+        SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY md5(concat_ws('|', company_id, month_index, 42)), month_index) AS place
+        FROM features) WHERE place = 1""",
+    "features",
+)
 check("op_trajectory", f"SELECT {KEYS}, {rnd('risk_score')} AS risk_score FROM scored", "scored")
 _fact = rounded(
     ["risk_score", "risk_tier", "runway_months", "mrr", "churn_rate", "ltv_cac_ratio", "burn_multiple", "composite_risk_index",

@@ -11,7 +11,7 @@ import __spark_entry__ as entry  # noqa: E402
 from tools.compare import compare, connect  # noqa: E402
 
 ROWS_ONLY = {
-    "op_group_sample", "ml_entity_split", "ml_row_split", "ml_logistic", "ml_random_forest", "ml_boosted_a", "ml_boosted_b",
+    "ml_logistic", "ml_random_forest", "ml_boosted_a", "ml_boosted_b",
     "ml_snapshot_model", "ml_model_compare", "ml_calibrate", "ml_grid_search", "ml_ridge_price", "op_model_io", "ml_score_tier",
     "ml_portfolio", "ml_what_if", "ml_monotonic_check", "ml_contributions", "fn_json_out", "st_batch_score",
 }

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1_000_000
-
-
 def draw(*keys: str, seed: int = 42) -> Column:
-    """A number in [0, 1) that depends only on the keys and the seed."""
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(BUCKETS)) / BUCKETS
+    """A number in [0, 1) that depends only on the keys and the seed, so that any
+    engine with MD5 makes the same split."""
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(2**32)
 
 
 def entity_split(

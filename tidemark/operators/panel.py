@@ -269,7 +269,7 @@ def latest_row(df: DataFrame, order: str = "month_index") -> DataFrame:
 
 def sample_row(df: DataFrame, seed: int = 42, order: str = "month_index") -> DataFrame:
     """One pseudo-random row per entity, the same one on every run."""
-    draw = F.xxhash64("company_id", order, F.lit(seed))
+    draw = F.md5(F.concat_ws("|", F.col("company_id").cast("string"), F.col(order).cast("string"), F.lit(str(seed))))
     first = Window.partitionBy("company_id").orderBy(draw, order)
     return df.withColumn("_draw", F.row_number().over(first)).where("_draw = 1").drop("_draw")
 
