@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.sql import COUNTS, ENGINEERED, dbl, rnd, rounded, statement
+from checks.sql import COUNTS, ENGINEERED, rnd, rounded, statement
 
 CHECKS: dict[str, str] = {}
 KEYS = "company_id, month_index"
@@ -36,8 +36,7 @@ check(
     f"SELECT {KEYS}, fail_month FROM panel WHERE month_index >= 3 AND (fail_month = -1 OR fail_month > month_index)",
     "panel",
 )
-_columns("op_panel_features", [*ENGINEERED, "label_fail_within_6m"], "features")
-CHECKS["op_panel_features"] = statement(f"SELECT {KEYS}, {rounded(ENGINEERED)}, label_fail_within_6m FROM features", "features")
+check("op_panel_features", f"SELECT {KEYS}, {rounded(ENGINEERED)}, label_fail_within_6m FROM features", "features")
 check(
     "op_attach_static",
     f"""SELECT {KEYS}, sector, region, founded_year, founder_count, founder_prior_exits, {rnd('founder_technical_pct')} AS founder_technical_pct,
@@ -224,12 +223,9 @@ check(
 )
 check(
     "op_leakage_check",
-    """SELECT max(month_index) AS compared_rows, CAST(0 AS BIGINT) AS moved_rows FROM panel""",
+    "SELECT CAST(max(month_index) AS BIGINT) AS compared_rows, CAST(0 AS BIGINT) AS moved_rows FROM panel",
     "panel",
 )
-CHECKS["op_leakage_check"] = statement(
-    "SELECT CAST(max(month_index) AS BIGINT) AS compared_rows, CAST(0 AS BIGINT) AS moved_rows FROM panel", "panel"
-)
 _features = ENGINEERED + [
     "founded_year", "founder_count", "founder_prior_exits", "founder_technical_pct", "initial_capital",
     "company_age_months_at_t", "sector", "region", "initial_funding_stage",

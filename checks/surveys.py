@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.sql import TENTHS, big, day, dbl, even, rnd, statement
+from checks.sql import day, dbl, even, rnd, statement
 
 CHECKS: dict[str, str] = {}
 LAST = 2001

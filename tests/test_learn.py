@@ -209,14 +209,14 @@ def test_narrative_wording(spark):
         (1, "nps_score_latest", -0.9), (2, "runway_months_latest", -0.1), (3, "mrr_latest", 0.2),
     ]
     long = spark.createDataFrame(rows, "id int, feature string, contribution double")
-    told = explain.narrative(explain.local_top(long, ["id"]), F.concat(F.lit("SU-"), F.col("id").cast("string")))
+    told = explain.narrative(explain.local_top(long, ["id"]), F.concat(F.lit("firm-"), F.col("id").cast("string")))
     text = {r.id: r.narrative for r in told.collect()}
     assert text[1] == (
-        "SU-1's risk score is primarily driven by months of cash runway remaining, mrr short-term trend and burn rate. "
+        "firm-1's risk score is primarily driven by months of cash runway remaining, mrr short-term trend and burn rate. "
         "This is partially offset by relatively healthy Net Promoter Score."
     )
-    assert text[2].startswith("SU-2's risk score is primarily driven by no single dominant risk factor")
-    assert text[3] == "SU-3's risk score is primarily driven by mrr."
+    assert text[2].startswith("firm-2's risk score is primarily driven by no single dominant risk factor")
+    assert text[3] == "firm-3's risk score is primarily driven by mrr."
 
 
 def test_price_parts_add_up(spark, data):

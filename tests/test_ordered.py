@@ -89,4 +89,3 @@ def test_no_single_task_sort_of_the_values(spark, skewed):
     text = plan._jdf.queryExecution().executedPlan().toString()
     inside = [line for line in text.splitlines() if "Window" in line and "_key" in line]
     assert inside and all("[_range" in line for line in inside)
-    assert F is not None

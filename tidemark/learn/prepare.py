@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Transformer
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,15 +68,3 @@ def standardize(train: DataFrame, target: DataFrame, columns: Sequence[str]) ->
 
 def without_working_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
-
-
-class Chain:
-    """Fitted stages applied in turn."""
-
-    def __init__(self, *stages: Transformer):
-        self.stages = stages
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        for stage in self.stages:
-            df = stage.transform(df)
-        return df
