@@ -8,6 +8,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as entry  # noqa: E402
+from checks.registry import CHECKS  # noqa: E402
+from tidemark.plans.registry import QUERIES  # noqa: E402
 from tools.compare import compare, connect  # noqa: E402
 
 ROWS_ONLY = {
@@ -23,7 +25,8 @@ SAMPLE = [
 
 
 def test_every_query_has_a_check_or_is_known_not_to():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(CHECKS) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
