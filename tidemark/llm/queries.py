@@ -66,7 +66,7 @@ def op6_source_mix(spark, folder):
 CHECKS["op6_source_mix"] = f"""
 WITH sized AS (
   SELECT doc_id, source, coalesce('a' || source, 'b') AS place,
-         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> ''))::BIGINT AS size,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
          md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS hash
   FROM documents
 ),

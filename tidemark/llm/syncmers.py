@@ -71,9 +71,9 @@ def fingerprint(found: Column) -> Column:
 
 
 def likeness(one: Column, other: Column) -> Column:
-    """Shared part of two anchor hash lists: 1 for equal texts, 0 for nothing shared."""
-    union = F.size(F.array_union(one, other))
-    return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(one, other)) / union)
+    """Shared part of two anchor hash lists (Dice): 1 for equal texts, 0 for nothing shared."""
+    union, shared = F.size(F.array_union(one, other)), F.size(F.array_intersect(one, other))
+    return F.when(union == 0, 1.0).otherwise(2 * shared / (union + shared))
 
 
 def with_next(df: DataFrame, doc_id: str, text: str) -> DataFrame:
