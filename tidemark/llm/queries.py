@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html, lines, mixing, syncmers
+from tidemark.llm import bpe, hamming, html, lines, mixing, quality, syncmers
 from tidemark.llm.common import table
 from tidemark.session import tune
 
@@ -58,6 +58,14 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op5_quality(spark, folder):
+    scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id", "source", "lang", "quality_evidence", "quality_host", "quality_path", "quality_score", F.col("quality_keep").cast("int").alias("keep")
+    )
+
+
 @query
 def op6_source_mix(spark, folder):
     return mixing.mix(table(spark, folder, "documents"), ["doc_id"])
@@ -179,3 +187,22 @@ def op8_closed_syncmers(spark, folder):
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next",
     )
+
+
+@query
+def op10_hamming_topk(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return hamming.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+CHECKS["op10_hamming_topk"] = f"""
+WITH codes AS (
+  SELECT DISTINCT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN x >= 0 THEN '1' ELSE '0' END), '') AS code
+  FROM embeddings WHERE embedding IS NOT NULL
+)
+SELECT query_id, rank, vec_id, distance FROM (
+  SELECT q.vec_id AS query_id, n.vec_id, hamming(q.code, n.code)::INTEGER AS distance,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY hamming(q.code, n.code), n.vec_id)::INTEGER AS rank
+  FROM codes q JOIN codes n ON q.vec_id % 100 = 0 AND n.vec_id <> q.vec_id
+) WHERE rank <= {hamming.K}
+"""
