@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, hamming, html, lines, mixing, quality, syncmers
+from tidemark.llm import bpe, hamming, html, lines, mixing, pii, quality, secrets, syncmers
 from tidemark.llm.common import table
 from tidemark.session import tune
 
@@ -27,6 +27,25 @@ def query(make: Query) -> Query:
     return make
 
 
+def _spans_text(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """``kind:start:end`` by start, then by kind as listed, comma-joined."""
+    rank = F.array(*[F.lit(k) for k in kinds])
+    placed = F.transform(spans, lambda s: F.struct(s["start"], F.array_position(rank, s["kind"]), s["end"], s["kind"]))
+    return F.array_join(
+        F.transform(F.sort_array(placed), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def _span_digests(found: DataFrame, base: tuple[str, ...], kinds: tuple[str, ...]) -> DataFrame:
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, base), F.sha2(_spans_text(F.col("base"), kinds), 256).alias("base_sha256"),
+        _spans_text(F.concat("base", "added"), kinds).alias("spans"),
+    )
+
+
 @query
 def op1_html_extract(spark, folder):
     pages = html.extract(table(spark, folder, "pages"))
@@ -58,6 +77,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op4_personal_data(spark, folder):
+    return _span_digests(pii.find(table(spark, folder, "documents"), ["doc_id"]), pii.KINDS, pii.KINDS)
+
+
 @query
 def op5_quality(spark, folder):
     scored = quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -189,6 +213,11 @@ def op8_closed_syncmers(spark, folder):
     )
 
 
+@query
+def op9_secret_scan(spark, folder):
+    return _span_digests(secrets.find(table(spark, folder, "documents"), ["doc_id"]), secrets.KINDS[:3], secrets.KINDS)
+
+
 @query
 def op10_hamming_topk(spark, folder):
     vectors = table(spark, folder, "embeddings")
