@@ -41,22 +41,10 @@ def word_count(text: Column) -> Column:
     return (F.size(parts) - outer).cast("long")
 
 
-def fresh_names(df: DataFrame, wanted: list[str]) -> dict[str, str]:
-    """Names for working columns that no column of ``df`` has already."""
-    taken = {c.lower() for c in df.columns}
-    names = {}
-    for name in wanted:
-        own = name
-        while own.lower() in taken:
-            own = f"_{own}"
-        taken.add(own.lower())
-        names[name] = own
-    return names
-
-
-def replace_columns(df: DataFrame, added: dict[str, Column]) -> DataFrame:
-    """``df`` with columns added; a column of the same name is replaced."""
-    return df.withColumns(added)
+def batch_sizes(spark: SparkSession) -> None:
+    """Cut Arrow batches by rows and bytes, so that long texts don't pile up in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def arrow_rows(
@@ -72,9 +60,7 @@ def arrow_rows(
     makes the state once per task.  Batches are cut by bytes as well as rows,
     so very long texts don't pile up in a worker.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    batch_sizes(df.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     fields = to_arrow_schema(schema)
@@ -90,11 +76,6 @@ def arrow_rows(
     return df.select(*inputs).mapInArrow(run, schema)
 
 
-def spans_text(spans: list[tuple[int, int, str]]) -> str:
-    """``kind:start:end`` of every span, comma-joined in the given order."""
-    return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
-
-
 def mix64(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit words (a finalizer with public constants)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, hamming, html, lines, mixing, pii, quality, secrets, syncmers
+from tidemark.llm import bpe, hamming, html, jaccard, lines, mixing, pii, quality, secrets, syncmers
 from tidemark.llm.common import table
 from tidemark.session import tune
 
@@ -77,6 +77,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op3_jaccard_join(spark, folder):
+    return jaccard.join(table(spark, folder, "documents"), width=3, num=90, den=100)
+
+
 @query
 def op4_personal_data(spark, folder):
     return _span_digests(pii.find(table(spark, folder, "documents"), ["doc_id"]), pii.KINDS, pii.KINDS)
