@@ -167,11 +167,16 @@ def mix(
 def mixed_rows(df: DataFrame, key: str, text: str = "text", source: str = "source", **settings) -> DataFrame:
     """The rows of ``df`` that the mix takes, each as often as it takes them.
 
-    A row is given once for every started round: ``ceil(taken / size)`` times.
-    Rows are matched by ``key``, which should be unique.
+    A row is given ``taken / size`` times, rounded; only the last document of a
+    shard's line is taken in part.  Rows without words are not taken.  Rows of
+    one key share their counts.  Columns stay as they are.
     """
-    plan = mix(df, [key], text, source, **settings).where("taken > 0")
-    times = plan.select(F.col(key).alias("_key"), F.ceil(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    plan = mix(df, [key], text, source, **settings)
+    times = (
+        plan.groupBy(F.col(key).alias("_key"))
+        .agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_times"))
+        .where("_times > 0")
+    )
     return (
         df.join(times, df[key].eqNullSafe(times["_key"]))
         .select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_round"))
