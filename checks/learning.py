@@ -131,21 +131,17 @@ check(
 )
 
 # explanations by one-feature slopes
-LINEAR = [
-    "runway_months_latest", "churn_rate_latest", "mrr_latest", "mrr_slope_6m", "ltv_cac_ratio_latest",
-    "consecutive_low_runway_months", "consecutive_neg_growth_months", "consecutive_high_churn_months",
-    "founder_conflict_ever", "burn_multiple", "capital_efficiency", "nps_score_latest",
-]
 _long = "(" + " UNION ALL ".join(
     f"""SELECT {KEYS}, '{c}' AS feature, {rnd(f'''(SELECT regr_slope(CAST(label_fail_within_6m AS DOUBLE), CAST({c} AS DOUBLE)) FROM features)
         * ({c} - (SELECT avg({c}) FROM features))''')} AS contribution FROM features"""
-    for c in LINEAR
+    for c in _numeric
 ) + ")"
 _ranked = f"""(SELECT *, row_number() OVER (PARTITION BY {KEYS}, direction ORDER BY abs(contribution) DESC, feature) AS place FROM (
     SELECT *, CASE WHEN contribution > 0 THEN 'up' WHEN contribution < 0 THEN 'down' END AS direction FROM {_long}) WHERE direction IS NOT NULL)"""
 check(
     "ml_global_importance",
-    f"SELECT feature, {rnd('avg(abs(contribution))')} AS mean_abs_contribution FROM {_long} GROUP BY feature",
+    f"""SELECT feature, {rnd('avg(abs(contribution))')} AS mean_abs_contribution FROM {_long} GROUP BY feature
+        ORDER BY avg(abs(contribution)) DESC NULLS LAST, feature LIMIT 15""",
     "features",
 )
 check(
@@ -160,21 +156,26 @@ check(
         FROM {_ranked} WHERE place <= 5 GROUP BY ALL""",
     "features",
 )
+# --- fixed values: readable names of the main features ---
 _names = {
     "runway_months_latest": "months of cash runway remaining",
     "churn_rate_latest": "current customer churn rate",
-    "mrr_latest": "mrr",
     "mrr_slope_6m": "6-month MRR growth trend",
-    "ltv_cac_ratio_latest": "LTV:CAC ratio",
     "consecutive_low_runway_months": "consecutive months with runway under 6 months",
     "consecutive_neg_growth_months": "consecutive months of revenue decline",
-    "consecutive_high_churn_months": "consecutive months of elevated churn",
+    "ltv_cac_ratio_latest": "LTV:CAC ratio",
+    "attrition_rate_latest": "employee attrition rate",
     "founder_conflict_ever": "history of founder conflict",
+    "glassdoor_rating_latest": "Glassdoor employee rating",
     "burn_multiple": "burn multiple (burn / revenue)",
-    "capital_efficiency": "capital efficiency (annualized revenue / cumulative burn)",
+    "consecutive_high_churn_months": "consecutive months of elevated churn",
+    "churn_rate_slope_6m": "6-month churn rate trend",
     "nps_score_latest": "Net Promoter Score",
+    "capital_efficiency": "capital efficiency (annualized revenue / cumulative burn)",
 }
-_name = "CASE feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _names.items()) + " END"
+# ----------------------------------------------------------
+_plain = "replace(replace(replace(replace(feature, '_latest', ''), '_slope_6m', ' trend'), '_slope_3m', ' short-term trend'), '_', ' ')"
+_name = "CASE feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _names.items()) + f" ELSE {_plain} END"
 check(
     "ml_narrative",
     f"""SELECT {KEYS}, company_id || '''s risk score is primarily driven by ' || CASE len(up)

@@ -145,7 +145,7 @@ check(
 )
 check(
     "op_avg_risk_runway",
-    f"SELECT {rnd('avg(risk_score)')} AS avg_risk_score, {rnd('avg(runway_months)')} AS avg_runway FROM risk_fact WHERE month_index >= 6",
+    f"SELECT {rnd('avg(risk_score)')} AS avg_risk_score, {rnd('avg(runway_months)')} AS avg_runway FROM risk_fact",
     "risk_fact",
 )
 check(
@@ -208,12 +208,12 @@ check(
 check(
     "op_histogram",
     f"""SELECT CAST(spot AS INTEGER) AS bin, {rnd('lo + spot * width')} AS bin_start, count(*) AS n,
-               {rnd('(SELECT quantile_cont(runway_months, 0.5) FROM panel WHERE failed)')} AS median
-        FROM (SELECT lo, width, least(floor((runway_months - lo) / width), 29) AS spot FROM panel,
-                     (SELECT min(runway_months) AS lo, (max(runway_months) - min(runway_months)) / 30 AS width FROM panel WHERE failed)
+               {rnd('(SELECT quantile_cont(CAST(fail_month AS DOUBLE), 0.5) FROM master WHERE failed)')} AS median
+        FROM (SELECT lo, width, CASE WHEN width > 0 THEN least(floor((fail_month - lo) / width), 29) ELSE 0 END AS spot FROM master,
+                     (SELECT CAST(min(fail_month) AS DOUBLE) AS lo, (max(fail_month) - min(fail_month)) / 30e0 AS width FROM master WHERE failed)
               WHERE failed)
         GROUP BY spot, lo, width""",
-    "panel",
+    "master",
 )
 check(
     "op_value_counts",
@@ -223,7 +223,7 @@ check(
 )
 check(
     "op_leakage_check",
-    "SELECT CAST(max(month_index) AS BIGINT) AS compared_rows, CAST(0 AS BIGINT) AS moved_rows FROM panel",
+    "SELECT count(*) - 1 AS compared_rows, CAST(0 AS BIGINT) AS moved_rows FROM panel",
     "panel",
 )
 _features = ENGINEERED + [

@@ -127,12 +127,13 @@ def schema_check(df: DataFrame, required: Sequence[str]) -> DataFrame:
     )
 
 
-def leakage_check(before: DataFrame, after: DataFrame, entity, month: int) -> DataFrame:
-    """Rows of ``entity`` ahead of ``month`` that differ between two runs, the
-    second of which saw a changed row at ``month``.  Must be empty."""
-    early = (F.col("company_id") == entity) & (F.col("month_index") < month)
-    left, right = before.where(early), after.where(early)
-    return left.exceptAll(right).unionByName(right.exceptAll(left))
+def moved_rows(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows that differ between two runs of the same features, from either side.
+
+    The second run saw a change that these rows must not depend on, so there
+    must be none.
+    """
+    return before.exceptAll(after).unionByName(after.exceptAll(before))
 
 
 def topk_signed(

@@ -36,14 +36,26 @@ def category_rank(column: str, order: Sequence[str]) -> Column:
     return F.nullif(F.array_position(F.array(*[F.lit(v) for v in order]), F.col(column)), F.lit(0))
 
 
-def sort_category(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
-    """Keep the listed categories, in the listed order."""
+def sort_category(df: DataFrame, column: str, order: Sequence[str], only_listed: bool = False) -> DataFrame:
+    """The listed categories in the listed order, then the others by name.
+
+    Others have no rank; ``only_listed`` leaves them out.
+    """
     ranked = df.withColumn("category_rank", category_rank(column, order))
-    return ranked.where(F.col("category_rank").isNotNull()).orderBy("category_rank")
+    if only_listed:
+        ranked = ranked.where(F.col("category_rank").isNotNull())
+    return ranked.orderBy(F.asc_nulls_last("category_rank"), column)
+
 
+def pivot_years(
+    totals: DataFrame, years: Sequence[int] | None = None, order: Sequence[str] = LEVEL_ORDER
+) -> DataFrame:
+    """Level x year matrix in the given row order, over every year that there is.
 
-def pivot_years(totals: DataFrame, years: Sequence[int], order: Sequence[str] = LEVEL_ORDER) -> DataFrame:
-    """Level x year matrix in the given row order."""
+    ``totals`` has a row per year and level, so its years are a short list.
+    """
+    if years is None:
+        years = [r["year"] for r in totals.select("year").distinct().orderBy("year").collect()]
     wide = totals.groupBy("level").pivot("year", list(years)).agg(F.first("rate"))
     return sort_category(wide.withColumnsRenamed({str(y): f"y{y}" for y in years}), "level", order)
 

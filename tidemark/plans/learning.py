@@ -1,8 +1,7 @@
 """Model queries: splits, metrics, fits, calibration, scoring, explanations.
 
 Fitted models are kept per session and folder, so queries that score or explain
-do not fit again.  The registered fits use fewer trees than the library's
-defaults; the full numbers are the defaults of ``learn.models``.
+do not fit again.  Models have their full sizes, the defaults of ``learn.models``.
 """
 
 from __future__ import annotations
@@ -25,14 +24,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 KEYS = ["company_id", "month_index"]
 RECORD_COLUMNS = ["length", "spaces", "periods", "marks", "zeros", "toxic"]
-TREES, ROUNDS = 40, 10
-
-# Features of the linear explanation; none is a linear function of another.
-LINEAR = [
-    "runway_months_latest", "churn_rate_latest", "mrr_latest", "mrr_slope_6m", "ltv_cac_ratio_latest",
-    "consecutive_low_runway_months", "consecutive_neg_growth_months", "consecutive_high_churn_months",
-    "founder_conflict_ever", "burn_multiple", "capital_efficiency", "nps_score_latest",
-]
 
 
 def query(make: Query) -> Query:
@@ -71,11 +62,11 @@ def model(spark, folder, name: str):
     train = part(spark, folder, "train")
     makers = {
         "LogisticRegression": lambda: models.fit(train, models.logistic(train.count()), weight="balanced"),
-        "RandomForest": lambda: models.fit(train, models.random_forest(numTrees=TREES), weight="balanced"),
-        "BoostedDepth5": lambda: models.fit(train, models.boosted(maxIter=ROUNDS), weight="ratio"),
-        "BoostedDepth6": lambda: models.fit(train, models.boosted_deep(maxIter=ROUNDS), weight="ratio"),
+        "RandomForest": lambda: models.fit(train, models.random_forest(), weight="balanced"),
+        "BoostedDepth5": lambda: models.fit(train, models.boosted(), weight="ratio"),
+        "BoostedDepth6": lambda: models.fit(train, models.boosted_deep(), weight="ratio"),
         "Snapshot": lambda: models.fit(
-            train, models.boosted_snapshot(maxIter=ROUNDS), models.SNAPSHOT_NUMERIC, weight="ratio"
+            train, models.boosted_snapshot(), models.SNAPSHOT_NUMERIC, weight="ratio"
         ),
     }
     return fitted(spark, folder, name, makers[name])
@@ -187,7 +178,7 @@ def ml_calibrate(spark, folder):
 def ml_grid_search(spark, folder):
     """Cross-validated accuracy per penalty kind and strength, best first."""
     rows = split.row_split(bases.records(spark, folder), "record_id").where("split = 'train'").cache()
-    search = models.grid_search(rows, RECORD_COLUMNS, "outcome", folds=3, strengths=(0.01, 1.0, 100.0), parallelism=8)
+    search = models.grid_search(rows, RECORD_COLUMNS, "outcome", parallelism=8)
     table = [
         ({p.name: float(v) for p, v in setting.items()}, float(score))
         for setting, score in zip(search.getEstimatorParamMaps(), search.avgMetrics)
@@ -339,12 +330,12 @@ def linear_contributions(spark, folder) -> DataFrame:
     rows = bases.features(spark, folder)
 
     def each(value: Callable[[str], Column]) -> Column:
-        row = rows.agg(F.struct(*[value(f).alias(f) for f in LINEAR]).alias("s"))
+        row = rows.agg(F.struct(*[value(f).alias(f) for f in NUMERIC_FEATURES]).alias("s"))
         return row.scalar()
 
     weights = each(lambda f: F.regr_slope(F.col(LABEL).cast("double"), F.col(f).cast("double")))
     means = each(lambda f: F.avg(F.col(f).cast("double")))
-    long = explain.linear_contributions(rows, weights, means, LINEAR, KEYS)
+    long = explain.linear_contributions(rows, weights, means, NUMERIC_FEATURES, KEYS)
     return long.withColumn("contribution", F.round("contribution", 6))
 
 

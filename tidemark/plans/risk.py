@@ -13,7 +13,7 @@ from tidemark.operators import ordered, panel, profile, risk_reports, star
 from tidemark.plans import bases
 from tidemark.plans.bases import publish
 from tidemark.schemas import ENGINEERED, FEATURES, LABEL
-from tidemark.session import tune
+from tidemark.session import measured, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -231,8 +231,7 @@ def op_high_risk_rate(spark, folder):
 
 @query
 def op_avg_risk_runway(spark, folder):
-    some = bases.risk_fact(spark, folder).where("month_index >= 6")
-    return risk_reports.averages(some)
+    return risk_reports.averages(bases.risk_fact(spark, folder))
 
 
 @query
@@ -291,8 +290,9 @@ def op_box_stats(spark, folder):
 
 @query
 def op_histogram(spark, folder):
-    failed = bases.entity_panel(spark, folder).where("failed")
-    return profile.histogram(failed, "runway_months")
+    """In which month failed entities failed."""
+    failed = bases.entities(spark, folder).where("failed")
+    return profile.histogram(failed, "fail_month")
 
 
 @query
@@ -307,22 +307,22 @@ def op_schema_check(spark, folder):
 
 @query
 def op_leakage_check(spark, folder):
-    """Change the last month of one entity and list earlier feature rows that
-    moved.  The entity is the first one with the longest history; a summary row
-    says how many rows were compared and how many of them differ."""
+    """Features of the whole panel before and after the last month of one entity
+    is changed.  No row of another entity and no earlier row of this one may
+    move, in either direction.  The entity is the first with the longest history."""
     rows = bases.entity_panel(spark, folder)
     last = rows.agg(
         F.max(F.struct("month_index", (-F.col("company_id")).alias("minus_id"))).alias("spot")
     ).select("spot").scalar()
-    marked = rows.withColumn("_spot", last).withColumn("_chosen", F.col("company_id") == -F.col("_spot.minus_id"))
-    chosen = marked.where("_chosen")
-    changed = chosen.withColumn(
-        "mrr", F.when(F.col("month_index") == F.col("_spot.month_index"), F.lit(999999999.0)).otherwise(F.col("mrr"))
+    marked = rows.withColumn("_spot", last).withColumn(
+        "_changed", (F.col("company_id") == -F.col("_spot.minus_id")) & (F.col("month_index") == F.col("_spot.month_index"))
     )
-    month = F.col("_spot.month_index")
-    early = [
-        panel.window_features(part.drop("_chosen")).where(F.col("month_index") < month).select(*KEYS, *ENGINEERED)
-        for part in (chosen, changed)
+    changed = marked.withColumn("mrr", F.when(F.col("_changed"), F.lit(999999999.0)).otherwise(F.col("mrr")))
+    runs = [
+        measured(
+            panel.window_features(part).where(~F.col("_changed")).select(*KEYS, *ENGINEERED), "leakage"
+        )
+        for part in (marked, changed)
     ]
-    moved = early[0].exceptAll(early[1]).agg(F.count(F.lit(1)).alias("moved_rows"))
-    return early[0].agg(F.count(F.lit(1)).alias("compared_rows")).withColumn("moved_rows", moved.scalar())
+    moved = profile.moved_rows(*runs).agg(F.count(F.lit(1)).alias("moved_rows"))
+    return runs[0].agg(F.count(F.lit(1)).alias("compared_rows")).withColumn("moved_rows", moved.scalar())

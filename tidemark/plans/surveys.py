@@ -14,7 +14,6 @@ from tidemark.session import measured, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-YEARS = list(range(1995, 2002))
 LAST_YEAR = 2001
 
 
@@ -43,7 +42,7 @@ def op_totals_rows(spark, folder):
 
 @query
 def op_pivot_year(spark, folder):
-    return survey.pivot_years(survey.only_totals(_all_rows(spark, folder)), YEARS)
+    return survey.pivot_years(measured(survey.only_totals(_all_rows(spark, folder)), "totals"))
 
 
 @query
@@ -86,7 +85,7 @@ def op_complement_pct(spark, folder):
 
 @query
 def op_sort_category(spark, folder):
-    return survey.sort_category(_latest_totals(spark, folder), "level", survey.LEVEL_ORDER[:4]).select(
+    return survey.sort_category(_latest_totals(spark, folder), "level", survey.LEVEL_ORDER).select(
         "level", "rate", "category_rank"
     )
 
