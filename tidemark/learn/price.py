@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.learn.prepare import feature_names, preparation
@@ -48,33 +50,57 @@ def coefficient_table(model: PipelineModel, sample: DataFrame) -> DataFrame:
     return sample.sparkSession.createDataFrame(rows, "term string, level string, weight double")
 
 
+def with_parts(
+    specs: DataFrame, weights: DataFrame, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = CATEGORIES
+) -> DataFrame:
+    """``specs`` with one ``part_<term>`` column per term: base, categories, numbers.
+
+    ``weights`` has a row per term and level, as many as the model has weights.
+    They are put into one map per category, so a row finds its parts by itself
+    and no row is shuffled.  An unknown level contributes 0.
+    """
+    known = F.collect_list(F.struct("term", "level", "weight"))
+    row = weights.agg(known.alias("all")).scalar()
+
+    def levels(term: str) -> Column:
+        own = F.filter("_weights", lambda w: (w["term"] == term) & w["level"].isNotNull())
+        return F.map_from_entries(F.transform(own, lambda w: F.struct(w["level"], w["weight"])))
+
+    def single(term: str) -> Column:
+        own = F.filter("_weights", lambda w: (w["term"] == term) & w["level"].isNull())
+        return F.coalesce(F.get(own, F.lit(0))["weight"], F.lit(0.0))
+
+    parts = {"part_base": single("base")}
+    for c in categories:
+        level = F.col(c).cast("string")
+        found = F.when(level.isNull(), single(c)).otherwise(F.try_element_at(levels(c), level))
+        parts[f"part_{c}"] = F.coalesce(found, F.lit(0.0))
+    for c in numeric:
+        parts[f"part_{c}"] = single(c) * F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return specs.withColumn("_weights", row).withColumns(parts).drop("_weights")
+
+
 def price_breakdown(
     specs: DataFrame, weights: DataFrame, keys: Sequence[str],
     numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = CATEGORIES,
 ) -> DataFrame:
-    """Additive contributions per row: base, one per category and one per number.
+    """Additive contributions in long form: base, one per category and one per number.
 
-    An unknown level contributes 0.  The rows add up to the estimated price,
-    device type included.  Each category picks its own few weights, so the join
-    keys are (term, level) and the weight side is as small as the model.
+    The rows of a key add up to its estimated price, device type included.
     """
-    terms = [F.struct(F.lit("base").alias("term"), F.lit(None).cast("string").alias("level"), F.lit(1.0).alias("amount"))]
-    terms += [
-        F.struct(F.lit(c).alias("term"), F.col(c).cast("string").alias("level"), F.lit(1.0).alias("amount"))
-        for c in categories
-    ]
-    terms += [
-        F.struct(F.lit(c).alias("term"), F.lit(None).cast("string").alias("level"), F.col(c).cast("double").alias("amount"))
-        for c in numeric
-    ]
-    long = specs.select(*keys, F.inline(F.array(*terms)))
-    match = weights.withColumnsRenamed({"term": "_term", "level": "_level"})
-    joined = long.join(
-        match, (F.col("term") == F.col("_term")) & F.col("level").eqNullSafe(F.col("_level")), "left"
-    )
-    return joined.select(
-        *keys, "term", "level", (F.coalesce("weight", F.lit(0.0)) * F.coalesce("amount", F.lit(0.0))).alias("contribution")
-    )
+    terms = [("base", F.lit(None).cast("string")), *[(c, F.col(c).cast("string")) for c in categories], *[(c, F.lit(None).cast("string")) for c in numeric]]
+    cells = [F.struct(F.lit(t).alias("term"), level.alias("level"), F.col(f"part_{t}").alias("contribution")) for t, level in terms]
+    return with_parts(specs, weights, numeric, categories).select(*keys, F.inline(F.array(*cells)))
+
+
+def estimated_price(
+    specs: DataFrame, weights: DataFrame, keys: Sequence[str],
+    numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = CATEGORIES,
+) -> DataFrame:
+    """The sum of a row's parts, row by row."""
+    names = ["base", *categories, *numeric]
+    total = reduce(add, [F.col(f"part_{n}") for n in names])
+    return with_parts(specs, weights, numeric, categories).select(*keys, total.alias("estimated_price"))
 
 
 def breakdown_total(breakdown: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -53,13 +53,17 @@ def monthly_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def brand_sales(fact: DataFrame, products: DataFrame) -> DataFrame:
+    per_product = fact.groupBy("product_key").agg(
+        F.sum("revenue").alias("_revenue"), F.sum("quantity_sold").alias("_units"),
+        F.sum("price").alias("_price"), F.count("price").alias("_priced"),
+    )
     return (
-        with_dim(fact, products, "product_key", "product_key")
+        with_dim(per_product, products, "product_key", "product_key")
         .groupBy("brand", "product_type")
         .agg(
-            total("revenue").alias("total_revenue"),
-            F.sum("quantity_sold").alias("total_units"),
-            half_up(mean("price"), 0).alias("avg_price"),
+            total("_revenue").alias("total_revenue"),
+            F.sum("_units").alias("total_units"),
+            half_up(ratio_or_null(F.sum("_price"), F.sum("_priced")), 0).alias("avg_price"),
         )
         .orderBy(F.desc("total_revenue"), "brand", "product_type")
     )
@@ -124,7 +128,11 @@ def segment_share(fact: DataFrame, customers: DataFrame) -> DataFrame:
 
 def dispatch_delay(fact: DataFrame, products: DataFrame, regions: DataFrame) -> DataFrame:
     """Mean delay by type and region; lines without a delay are left out."""
-    known = fact.where(F.col("dispatch_delay_days").isNotNull())
+    known = (
+        fact.where(F.col("dispatch_delay_days").isNotNull())
+        .groupBy("product_key", "region_key")
+        .agg(F.sum("dispatch_delay_days").alias("_days"), F.count(F.lit(1)).alias("_orders"))
+    )
     both = with_dim(
         with_dim(known, products, "product_key", "product_key").drop(products["product_key"]),
         regions, "region_key", "region_key",
@@ -132,8 +140,8 @@ def dispatch_delay(fact: DataFrame, products: DataFrame, regions: DataFrame) ->
     return (
         both.groupBy("product_type", "region_name")
         .agg(
-            half_up(mean("dispatch_delay_days"), 1).alias("avg_dispatch_delay_days"),
-            F.count(F.lit(1)).alias("orders"),
+            half_up(ratio_or_null(F.sum("_days"), F.sum("_orders")), 1).alias("avg_dispatch_delay_days"),
+            F.sum("_orders").alias("orders"),
         )
         .orderBy(F.desc("avg_dispatch_delay_days"), "product_type", "region_name")
     )
@@ -142,9 +150,11 @@ def dispatch_delay(fact: DataFrame, products: DataFrame, regions: DataFrame) ->
 def top_processors(fact: DataFrame, products: DataFrame, n: int = 3) -> DataFrame:
     """Top ``n`` processors per type with ties kept; pruned before the shuffle."""
     units = (
-        with_dim(fact, products, "product_key", "product_key")
+        with_dim(
+            fact.groupBy("product_key").agg(F.sum("quantity_sold").alias("_units")), products, "product_key", "product_key"
+        )
         .groupBy("product_type", "processor")
-        .agg(F.sum("quantity_sold").alias("units_sold"))
+        .agg(F.sum("_units").alias("units_sold"))
     )
     best = Window.partitionBy("product_type").orderBy(F.desc("units_sold"))
     return (

@@ -18,7 +18,7 @@ from tidemark.operators import panel, profile
 from tidemark.plans import bases
 from tidemark.plans.bases import publish
 from tidemark.schemas import LABEL, NUMERIC_FEATURES, SNAPSHOT_FEATURES, STATIC_CATEGORIES
-from tidemark.session import fresh_path, measured, staged, tune
+from tidemark.session import fingerprint, fresh_path, measured, staged, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,7 +52,7 @@ _fitted: dict[tuple[str, str, str], object] = {}
 
 def fitted(spark, folder, name: str, make: Callable):
     """A model of this session and folder, fitted on first use."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    key = (spark.sparkContext.applicationId, f"{folder}#{fingerprint(spark, folder)}", name)
     if key not in _fitted:
         _fitted[key] = make()
     return _fitted[key]
@@ -215,8 +215,7 @@ def ml_price_breakdown(spark, folder):
     weights = parts[0]
     for more in parts[1:]:
         weights = weights.unionByName(more)
-    long = price.price_breakdown(rows, measured(weights, "price_weights"), ["order_id"])
-    return publish(price.breakdown_total(long, ["order_id"]), 3)
+    return publish(price.estimated_price(rows, measured(weights, "price_weights"), ["order_id"]), 3)
 
 
 @query

@@ -50,8 +50,7 @@ def st_dedupe(spark, folder):
     daily = event_stream(spark, folder).select(
         "ts", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")
     )
-    once = refresh.deduped(daily, ["user_id", "event_type", "day"], "ts", "2 days")
-    refresh.append_files(once, sink, mark)
+    refresh.append_new(daily, sink, mark, ["user_id", "event_type", "day"])
     return spark.read.parquet(sink).select("user_id", "event_type", "day")
 
 

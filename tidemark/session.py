@@ -8,6 +8,7 @@ of re-running the whole job.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -54,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
     return context.getCheckpointDir().rstrip("/")
@@ -65,6 +66,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """Names, lengths and modification times of the files of a folder's tables.
+
+    Any file system that Spark reads will do.  A staged table or a fitted model
+    that was made from other files is not used again.
+    """
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    lines = []
+    for table in system.listStatus(top):
+        inside = system.listStatus(table.getPath()) if table.isDirectory() else [table]
+        lines += [f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in inside]
+    return hashlib.md5("\n".join(sorted(lines)).encode()).hexdigest()
+
+
 _staged: dict[tuple[str, str, str], str] = {}
 
 
@@ -76,7 +93,7 @@ def staged(
     partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Read the staged table ``name`` for ``source``, writing it on first use."""
-    key = (spark.sparkContext.applicationId, source, name)
+    key = (spark.sparkContext.applicationId, f"{source}#{fingerprint(spark, source)}", name)
     if key not in _staged:
         path = fresh_path(spark, name)
         build().write.partitionBy(*partition_by).parquet(path)

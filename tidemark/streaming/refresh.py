@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.clean import keep_first
 from tidemark.operators.growth import drop_alerts, month_growth, monthly_revenue
 
 
@@ -52,10 +53,39 @@ def incremental_refresh(
 
 
 def deduped(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
-    """Skip keys already loaded; state is dropped once ``lateness`` has passed."""
+    """Skip keys seen within ``lateness``; older rows are dropped and older keys forgotten.
+
+    Only for streams where that is meant; ``append_new`` knows every key for good.
+    """
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
+def append_new(stream: DataFrame, sink: str, checkpoint: str, keys: Sequence[str]) -> None:
+    """Append the rows whose key no earlier batch has brought, however late they come.
+
+    Of several rows with one key in a batch the first in the order of all columns
+    stays.  Keys are looked up in the sink itself, so nothing is kept as state and
+    nothing is forgotten; a batch that is run again sees the batches before it only.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+        spark.createDataFrame([], batch.schema).write.mode("ignore").parquet(f"{sink}/batch=-1")
+        known = spark.read.schema(schema).option("basePath", sink).parquet(sink).where(F.col("batch") < number).drop("batch")
+        first = keep_first(batch, keys, list(batch.columns))
+        fresh = first.join(known.select(*keys).distinct(), list(keys), "left_anti")
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(append)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def append_files(stream: DataFrame, sink: str, checkpoint: str) -> None:
     """Append-only file sink; each batch is committed exactly once."""
     query = (
