@@ -41,6 +41,16 @@ def word_count(text: Column) -> Column:
     return (F.size(parts) - outer).cast("long")
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns of a row in one struct, so that working columns can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in df.columns]).alias("_whole")
+
+
+def parts(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` out of the struct again."""
+    return [F.col("_whole").getField(c).alias(c) for c in df.columns]
+
+
 def batch_sizes(spark: SparkSession) -> None:
     """Cut Arrow batches by rows and bytes, so that long texts don't pile up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import parts, stored, whole
 
 MIN_SITES = 10     # distinct sites that make a line boilerplate
 MIN_CHARS = 20     # shorter lines tell nothing about where they come from
@@ -91,15 +91,15 @@ def dedupe_lines(
         lines.join(common, ["_h1", "_h2"]).where(again)
         .groupBy("_row1", "_row2").agg(F.sort_array(F.collect_set("_place")).alias("_places"))
     )
-    rows = df.drop("n_lines", "n_removed").select(
-        "*", F.xxhash64(doc_id, site, text).alias("_row1"), F.xxhash64(F.lit(1), doc_id, site, text).alias("_row2")
-    )
-    split = F.split(text, "\n", -1)
-    cleaned = F.when(F.col("_places").isNull(), F.col(text)).otherwise(
-        F.array_join(_without(split, F.col("_places")), "\n")
+    kept = df.drop("n_lines", "n_removed")
+    rows = df.select(
+        whole(kept), F.xxhash64(doc_id, site, text).alias("_row1"), F.xxhash64(F.lit(1), doc_id, site, text).alias("_row2")
     )
+    own = F.col("_whole").getField(text)
+    split = F.split(own, "\n", -1)
+    cleaned = F.when(F.col("_places").isNull(), own).otherwise(F.array_join(_without(split, F.col("_places")), "\n"))
     return rows.join(places, ["_row1", "_row2"], "left").select(
-        *[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns if c not in ("n_lines", "n_removed")],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
+        *[cleaned.alias(c) if c == text else part for c, part in zip(kept.columns, parts(kept), strict=True)],
+        F.when(own.isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
         F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")).cast("long").alias("n_removed"),
     )

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import parts, stored, whole
 
 WEIGHTS = (5, 2, 1)   # by code point of the source, repeating
 MOST = 3              # times a source or document may be repeated
@@ -177,8 +177,9 @@ def mixed_rows(df: DataFrame, key: str, text: str = "text", source: str = "sourc
         .agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_times"))
         .where("_times > 0")
     )
+    rows = df.select(whole(df), F.col(key).alias("_own"))
     return (
-        df.join(times, df[key].eqNullSafe(times["_key"]))
-        .select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_round"))
-        .drop("_round")
+        rows.join(times, rows["_own"].eqNullSafe(times["_key"]))
+        .select("_whole", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_round"))
+        .select(*parts(df))
     )
