@@ -13,66 +13,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import words
+from tidemark.llm.common import parts, whole, words
 
 K, S = 4, 1
 NEIGHBOURS = 64   # ids per block when documents are put next to each other
 
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """The anchors of a text: an array of (hash, place in words), in text order.
+def with_anchors(df: DataFrame, texts: dict[str, str], k: int = K, s: int = S) -> DataFrame:
+    """``df`` with the anchors of text columns: arrays of (hash, place in words), in text order.
 
-    A text of fewer than ``k`` words is one anchor as a whole; a text without
-    words has none.
+    ``texts`` gives the new column of each text column.  A text of fewer than
+    ``k`` words is one anchor as a whole; a text without words, or null, has none.
+    Words, inner runs and anchors are made in projections of their own, as each is
+    used several times by the next.
     """
     if not 1 <= s <= k:
         raise ValueError("1 <= s <= k")
-
-    def fields(row: Column, width: int) -> list[Column]:
-        return [row[str(i)] for i in range(width)]
-
-    own = words(text)
-    letters = F.transform(own, lambda w: F.xxhash64(w))
-    inner = letters
-    if s > 1:
-        inner = F.transform(_zipped(letters, s), lambda r: F.xxhash64(*fields(r, s)))
     width = k - s + 1
-    runs = F.arrays_zip(*_slices(inner, width), F.sequence(F.lit(0), F.greatest(F.size(inner) - width, F.lit(0))))
+
+    def fields(row: Column, count: int) -> list[Column]:
+        return [row[str(i)] for i in range(count)]
 
     def is_anchor(r: Column) -> Column:
-        edge = F.least(r["0"], r[str(width - 1)]) if width > 1 else r["0"]
+        if width <= 2:
+            return F.lit(True)
         between = fields(r, width)[1:-1]
-        if not between:
-            return r["0"].isNotNull()
         middle = F.least(*between) if len(between) > 1 else between[0]
-        return r["0"].isNotNull() & (edge <= middle)
-
-    found = F.transform(
-        F.filter(runs, is_anchor),
-        lambda r: F.struct(F.xxhash64(*fields(r, width)).alias("hash"), r[str(width)].alias("place")),
-    )
-    whole = F.array(F.struct(F.xxhash64(letters).alias("hash"), F.lit(0).alias("place")))
-    size = F.size(own)
-    return F.when(size >= k, found).when(size > 0, whole).otherwise(F.slice(whole, 1, 0))
+        return F.least(r["0"], r[str(width - 1)]) <= middle
+
+    def found(letters: str, inner: str) -> Column:
+        count = F.greatest(F.size(inner) - (width - 1), F.lit(0))
+        places = F.slice(F.sequence(F.lit(0), F.size(inner)), F.lit(1), count)
+        runs = F.arrays_zip(*_slices(inner, width), places)
+        every = F.transform(
+            F.filter(runs, is_anchor), lambda r: F.struct(F.xxhash64(*fields(r, width)).alias("hash"), r[str(width)].alias("place"))
+        )
+        whole = F.array(F.struct(F.xxhash64(letters).alias("hash"), F.lit(0).alias("place")))
+        return F.when(F.size(letters) >= k, every).when(F.size(letters) > 0, whole).otherwise(F.slice(whole, 1, 0))
+
+    columns = [F.col(f"`{c}`") for c in df.columns if c not in texts.values()]
+    letters = df.select(*columns, *[F.transform(words(F.col(t)), lambda w: F.xxhash64(w)).alias(f"_letters_{n}") for t, n in texts.items()])
+    if s > 1:
+        inner = letters.select(
+            "*", *[F.transform(F.arrays_zip(*_slices(f"_letters_{n}", s)), lambda r: F.xxhash64(*fields(r, s))).alias(f"_inner_{n}") for n in texts.values()]
+        )
+        return inner.select(*columns, *[found(f"_letters_{n}", f"_inner_{n}").alias(n) for n in texts.values()])
+    return letters.select(*columns, *[found(f"_letters_{n}", f"_letters_{n}").alias(n) for n in texts.values()])
 
 
-def _slices(array: Column, width: int) -> list[Column]:
+def _slices(array: str, width: int) -> list[Column]:
     count = F.greatest(F.size(array) - (width - 1), F.lit(0))
     return [F.slice(array, i + 1, count) for i in range(width)]
 
 
-def _zipped(array: Column, width: int) -> Column:
-    return F.arrays_zip(*_slices(array, width))
+def likeness(union: Column, shared: Column) -> Column:
+    """Shared part (Dice) of two hash lists, from the sizes of their union and intersection.
 
-
-def fingerprint(found: Column) -> Column:
-    """Anchor hashes in text order, comma-joined."""
-    return F.array_join(F.transform(found, lambda a: a["hash"]).cast("array<string>"), ",")
-
-
-def likeness(one: Column, other: Column) -> Column:
-    """Shared part of two anchor hash lists (Dice): 1 for equal texts, 0 for nothing shared."""
-    union, shared = F.size(F.array_union(one, other)), F.size(F.array_intersect(one, other))
+    1 for equal texts, two empty ones included; 0 for nothing shared.
+    """
     return F.when(union == 0, 1.0).otherwise(2 * shared / (union + shared))
 
 
@@ -134,7 +132,9 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: i
     A null text counts as empty and has no anchors; rows stay as they are,
     repeated ones too; a column named anchors is replaced.
     """
-    return df.withColumn("anchors", anchors(F.col(text), k, s))
+    kept = df.drop("anchors")
+    rows = df.select(whole(kept), F.col(text).alias("_text"))
+    return with_anchors(rows, {"_text": "_found"}, k, s).select(*parts(kept), F.col("_found").alias("anchors"))
 
 
 def aligned(one: Column, other: Column) -> Column:
@@ -172,17 +172,20 @@ def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text
         F.concat(F.substring("_text", F.lit(1), size - cut), F.substring("_next", F.lit(1), cut)).alias("edited"),
     )
 
-    def hashes(column: str) -> Column:
-        return F.transform(anchors(F.col(column), k, s), lambda a: a["hash"])
-
-    lists = edited.select(
+    found = with_anchors(edited, {"_text": "_own", "edited": "_edited", "_next": "_other"}, k, s)
+    lists = found.select(
         "_doc", "n_chars", "edited",
-        hashes("_text").alias("_own"), hashes("edited").alias("_edited"), hashes("_next").alias("_other"),
+        *[F.transform(c, lambda a: a["hash"]).alias(c) for c in ("_own", "_edited", "_other")],
+    )
+    sizes = lists.select(
+        "*",
+        *[F.size(F.array_union("_own", c)).alias(f"_union{c}") for c in ("_edited", "_other")],
+        *[F.size(F.array_intersect("_own", c)).alias(f"_shared{c}") for c in ("_edited", "_other")],
     )
-    return lists.select(
+    return sizes.select(
         F.col("_doc").alias(doc_id), "n_chars", "edited",
         F.array_join(F.col("_own").cast("array<string>"), ",").alias("fingerprint"),
         F.array_join(F.col("_edited").cast("array<string>"), ",").alias("edited_fingerprint"),
-        likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
-        likeness(F.col("_own"), F.col("_other")).alias("near_next"),
+        likeness(F.col("_union_edited"), F.col("_shared_edited")).alias("near_edited"),
+        likeness(F.col("_union_other"), F.col("_shared_other")).alias("near_next"),
     )
