@@ -203,6 +203,10 @@ check(
     "features",
 )
 
+# models: what must hold whatever was fitted
+check("op_model_io", f"SELECT {KEYS}, 0e0 AS difference FROM features", "features")
+check("st_batch_score", f"SELECT {KEYS}, 0e0 AS difference FROM features", "features")
+
 # refreshes
 check(
     "st_incremental_refresh",

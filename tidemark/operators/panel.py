@@ -191,12 +191,12 @@ def history_filter(rows: DataFrame) -> DataFrame:
 
 
 def window_features(
-    panel: DataFrame, position: str | None = "month_index", block: int = BLOCK
+    panel: DataFrame, position: str | None = None, block: int = BLOCK
 ) -> DataFrame:
     """Every engineered column for every panel row.
 
-    ``position`` names a column that already numbers an entity's rows from 0
-    without gaps; ``None`` computes the positions first.
+    ``None`` computes the positions of an entity's rows; ``position`` names a
+    column that is known to number them from 0 without gaps, which saves a sort.
     """
     if position is None:
         panel, position = with_row_position(panel), "_pos"
@@ -240,7 +240,7 @@ def window_features(
 
 def panel_features(
     panel: DataFrame,
-    position: str | None = "month_index",
+    position: str | None = None,
     exclude_acquired: bool = False,
     block: int = BLOCK,
 ) -> DataFrame:

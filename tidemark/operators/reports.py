@@ -177,14 +177,26 @@ def demographics(fact: DataFrame, customers: DataFrame) -> DataFrame:
 # --- flat reports ---------------------------------------------------------------
 
 
+def per_customer(sales: DataFrame, keys: Sequence[str] = (), customer: str = "customer_name") -> DataFrame:
+    """Sales reduced to one row per key and customer.
+
+    Order ids are unique after cleaning (``constraint_violations`` counts those
+    that aren't), so orders are counted, and customers are rows of this table.
+    """
+    return sales.groupBy(*keys, customer).agg(
+        F.sum("revenue").alias("_revenue"), F.count("order_id").alias("_orders"), F.sum("quantity_sold").alias("_units"),
+        F.sum("dispatch_delay_days").alias("_days"), F.count("dispatch_delay_days").alias("_delays"),
+    )
+
+
 def exec_kpis(sales: DataFrame) -> DataFrame:
     """One row of headline numbers."""
-    return sales.agg(
-        total("revenue").alias("total_revenue"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.coalesce(F.sum("quantity_sold"), F.lit(0)).alias("total_units"),
-        F.countDistinct("customer_name").alias("unique_customers"),
-        mean("dispatch_delay_days").alias("avg_dispatch_delay"),
+    return per_customer(sales).agg(
+        total("_revenue").alias("total_revenue"),
+        F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"),
+        F.coalesce(F.sum("_units"), F.lit(0)).alias("total_units"),
+        F.count("customer_name").alias("unique_customers"),
+        ratio_or_null(F.sum("_days"), F.sum("_delays")).alias("avg_dispatch_delay"),
     ).withColumns(
         {
             "average_order_value": ratio_or_null(F.col("total_revenue"), F.col("total_orders")),
@@ -223,12 +235,12 @@ def top_by(df: DataFrame, key: str, value: str, name: str, n: int = 5) -> DataFr
 def region_kpis(sales: DataFrame) -> DataFrame:
     """Revenue, orders, customers and share; the share rounds half to even."""
     return (
-        sales.dropna(subset=["region"])
+        per_customer(sales.dropna(subset=["region"]), ["region"])
         .groupBy("region")
         .agg(
-            total("revenue").alias("revenue"),
-            F.countDistinct("order_id").alias("orders"),
-            F.countDistinct("customer_name").alias("customers"),
+            total("_revenue").alias("revenue"),
+            F.sum("_orders").alias("orders"),
+            F.count("customer_name").alias("customers"),
         )
         .withColumn(
             "revenue_share_pct",
@@ -302,13 +314,13 @@ def price_volume(sales: DataFrame) -> DataFrame:
 
 def region_scorecard(sales: DataFrame) -> DataFrame:
     return (
-        sales.dropna(subset=["region"])
+        per_customer(sales.dropna(subset=["region"]), ["region"])
         .groupBy("region")
         .agg(
-            F.countDistinct("order_id").alias("orders"),
-            total("revenue").alias("revenue"),
-            mean("dispatch_delay_days").alias("avg_delay"),
-            F.countDistinct("customer_name").alias("customers"),
+            F.sum("_orders").alias("orders"),
+            total("_revenue").alias("revenue"),
+            ratio_or_null(F.sum("_days"), F.sum("_delays")).alias("avg_delay"),
+            F.count("customer_name").alias("customers"),
         )
         .withColumn("revenue_share", F.col("revenue") / F.sum("revenue").over(Window.partitionBy()))
         .orderBy("region")
@@ -334,10 +346,10 @@ def reconcile(flat: DataFrame, star: DataFrame) -> DataFrame:
 
 def kpi_values(df: DataFrame, customer: str) -> DataFrame:
     """Headline numbers in long form, from a flat or a star fact."""
-    row = df.agg(
-        F.sum("revenue").cast("double").alias("revenue"),
-        F.countDistinct("order_id").cast("double").alias("orders"),
-        F.sum("quantity_sold").cast("double").alias("units"),
-        F.countDistinct(customer).cast("double").alias("customers"),
+    row = per_customer(df, customer=customer).agg(
+        F.sum("_revenue").cast("double").alias("revenue"),
+        F.sum("_orders").cast("double").alias("orders"),
+        F.sum("_units").cast("double").alias("units"),
+        F.count(customer).cast("double").alias("customers"),
     )
     return row.unpivot([], ["revenue", "orders", "units", "customers"], "kpi", "value")

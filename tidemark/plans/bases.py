@@ -97,7 +97,7 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
     def build() -> DataFrame:
-        rows = panel.panel_features(entity_panel(spark, folder))
+        rows = panel.panel_features(entity_panel(spark, folder), position="month_index")
         return panel.attach_static(rows, entities(spark, folder))
 
     return staged(tune(spark), folder, "features", build)

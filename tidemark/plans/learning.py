@@ -159,8 +159,7 @@ def ml_snapshot_model(spark, folder):
 @query
 def ml_model_compare(spark, folder):
     """All models on the validation part, best first."""
-    names = ["LogisticRegression", "RandomForest", "BoostedDepth5", "BoostedDepth6"]
-    return metrics.compare([_evaluated(spark, folder, name) for name in names])
+    return compared(spark, folder).orderBy(F.desc("pr_auc"), "model")
 
 
 @query
@@ -220,14 +219,66 @@ def ml_price_breakdown(spark, folder):
 
 @query
 def op_model_io(spark, folder):
-    """Scores of a saved and re-loaded model next to the original's."""
+    """How far the scores of a saved and re-loaded model are from the original's."""
     fit = model(spark, folder, "LogisticRegression")
     path = fresh_path(spark, "model")
     models.save_model(fit, path)
-    rows = bases.features(spark, folder)
-    before = models.score(fit, rows).select(*KEYS, F.col("risk_score").alias("before"))
-    after = models.score(models.load_model(path), rows).select(*KEYS, F.col("risk_score").alias("after"))
-    return before.join(after, KEYS)
+    before = models.score(fit, bases.features(spark, folder), "before")
+    both = models.score(models.load_model(path), before, "after")
+    return both.select(*KEYS, (F.col("after") - F.col("before")).alias("difference"))
+
+
+# --- the chain: compare, choose, calibrate, tune, report --------------------------
+
+CANDIDATES = ["LogisticRegression", "RandomForest", "BoostedDepth5", "BoostedDepth6"]
+
+
+def compared(spark, folder) -> DataFrame:
+    """All models on the validation part, best average precision first."""
+    return staged(
+        spark, folder, "compared", lambda: metrics.compare([_evaluated(spark, folder, name) for name in CANDIDATES])
+    )
+
+
+def chosen(spark, folder) -> str:
+    """The name of the model with the best average precision; ties by name."""
+    return compared(spark, folder).orderBy(F.desc("pr_auc"), "model").first()["model"]
+
+
+def chain_scores(spark, folder, name: str) -> DataFrame:
+    """Scores of one part by the chosen model, calibrated on the validation part."""
+    scorer = calibrated(spark, folder, chosen(spark, folder)).score
+    keep = [*KEYS, "founded_year", LABEL, "risk_score"]
+    return staged(spark, folder, f"chain_{name}", lambda: scorer(part(spark, folder, name)).select(*keep))
+
+
+def chain_threshold(spark, folder) -> DataFrame:
+    """The threshold of least cost on the validation part."""
+    return metrics.cost_threshold(chain_scores(spark, folder, "validation"), "risk_score", LABEL)
+
+
+@query
+def ml_chain_choice(spark, folder):
+    """The models in the order of their validation results, and which one is used."""
+    best = chosen(spark, folder)
+    return compared(spark, folder).withColumn("chosen", (F.col("model") == best).cast("int"))
+
+
+@query
+def ml_chain_threshold(spark, folder):
+    return chain_threshold(spark, folder)
+
+
+@query
+def ml_chain_report(spark, folder):
+    """Per class on the test part, at the threshold tuned on the validation part."""
+    limit = chain_threshold(spark, folder).first()["threshold"]
+    return metrics.class_report(chain_scores(spark, folder, "test"), "risk_score", LABEL, limit)
+
+
+@query
+def ml_chain_cohorts(spark, folder):
+    return metrics.roc_auc(chain_scores(spark, folder, "test"), "risk_score", LABEL, ["founded_year"])
 
 
 # --- metrics ----------------------------------------------------------------------

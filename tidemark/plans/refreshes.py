@@ -65,7 +65,8 @@ def st_window_revenue(spark, folder):
 
 @query
 def st_batch_score(spark, folder):
-    """Score the feature table as it would arrive, batch by batch."""
+    """Score the feature table as it would arrive, batch by batch, and tell how far
+    each score is from that of a single run over the whole table."""
     rows = bases.features(spark, folder)
     path = fresh_path(spark, "features_landing")
     rows.write.parquet(path)
@@ -75,4 +76,8 @@ def st_batch_score(spark, folder):
     refresh.batch_score(
         stream, sink, mark, lambda batch: models.score(fit, batch).select("company_id", "month_index", "risk_score")
     )
-    return spark.read.parquet(sink).select("company_id", "month_index", "risk_score")
+    streamed = spark.read.parquet(sink).select("company_id", "month_index", F.col("risk_score").alias("streamed"))
+    at_once = models.score(fit, rows).select("company_id", "month_index", "risk_score")
+    return at_once.join(streamed, ["company_id", "month_index"], "full").select(
+        "company_id", "month_index", (F.col("streamed") - F.col("risk_score")).alias("difference")
+    )

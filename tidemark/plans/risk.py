@@ -26,7 +26,7 @@ def query(make: Query) -> Query:
 
 
 def _windowed(spark, folder):
-    return panel.window_features(bases.entity_panel(spark, folder))
+    return panel.window_features(bases.entity_panel(spark, folder), "month_index")
 
 
 # --- windows ----------------------------------------------------------------------
@@ -91,12 +91,12 @@ def op_history_filter(spark, folder):
 
 @query
 def op_panel_features(spark, folder):
-    return panel.panel_features(bases.entity_panel(spark, folder))
+    return panel.panel_features(bases.entity_panel(spark, folder), position="month_index")
 
 
 @query
 def op_attach_static(spark, folder):
-    rows = panel.panel_features(bases.entity_panel(spark, folder))
+    rows = panel.panel_features(bases.entity_panel(spark, folder), position="month_index")
     return panel.attach_static(rows, bases.entities(spark, folder)).select(
         *KEYS, "sector", "region", "founded_year", "founder_count", "founder_prior_exits", "founder_technical_pct",
         "initial_funding_stage", "initial_capital", "company_age_months_at_t",
@@ -320,7 +320,7 @@ def op_leakage_check(spark, folder):
     changed = marked.withColumn("mrr", F.when(F.col("_changed"), F.lit(999999999.0)).otherwise(F.col("mrr")))
     runs = [
         measured(
-            panel.window_features(part).where(~F.col("_changed")).select(*KEYS, *ENGINEERED), "leakage"
+            panel.window_features(part, "month_index").where(~F.col("_changed")).select(*KEYS, *ENGINEERED), "leakage"
         )
         for part in (marked, changed)
     ]
