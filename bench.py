@@ -3,8 +3,11 @@
     BENCH_SF_DIR  folder with the tables (default /root/testdata/sf0.1)
     BENCH_CPUS    local cores (default 8)
 
-``build_*`` entries time the staged inputs (cleaned sales, star, panel); the
-queries then read them, best of two runs, every result row computed.
+``warm_up`` is the session's start-up.  ``build_*`` entries time the staged inputs
+(cleaned sales, star, panel); the queries then read them, best of two runs, every
+result row computed.  With BENCH_MODELS=1 the training chain (four models of full
+size, calibration), the snapshot model and the contributions of the boosted model
+are timed too; they take many minutes, as each boosting round is several jobs.
 """
 
 from __future__ import annotations
@@ -35,6 +38,12 @@ BUILDS = {
 }
 
 
+def warm_up(spark, folder: str) -> None:
+    """Start-up apart from the work: first read, join, aggregate and write of the session."""
+    lines, orders = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("lineitem", "orders"))
+    run(lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).groupBy("o_orderpriority").count())
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -54,6 +63,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
+    start = time.perf_counter()
+    warm_up(spark, folder)
+    times["warm_up"] = round(time.perf_counter() - start, 3)
     for name, make in BUILDS.items():
         start = time.perf_counter()
         make(spark, folder)
@@ -66,6 +78,11 @@ def main() -> None:
             took = time.perf_counter() - start
             best = took if best is None else min(best, took)
         times[name] = round(best, 3)
+    if os.environ.get("BENCH_MODELS") == "1":
+        for name in ("ml_chain_report", "ml_snapshot_model", "ml_contributions"):
+            start = time.perf_counter()
+            run(QUERIES[name](spark, folder))
+            times[name] = round(time.perf_counter() - start, 3)
     print(
         json.dumps(
             {
