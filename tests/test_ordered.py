@@ -89,3 +89,31 @@ def test_no_single_task_sort_of_the_values(spark, skewed):
     text = plan._jdf.queryExecution().executedPlan().toString()
     inside = [line for line in text.splitlines() if "Window" in line and "_key" in line]
     assert inside and all("[_range" in line for line in inside)
+
+
+def test_a_missed_bracket_is_no_answer(spark, monkeypatch):
+    from tidemark.operators import ordered
+
+    values = spark.range(20_000).select(F.col("id").cast("double").alias("v"))
+    right = ordered._brackets
+
+    def wrong(df, probabilities, group, margin):
+        moved = right(df, probabilities, group, margin)
+        return moved.withColumn("_b", F.col("_b").withField("high0", F.col("_b.low0")))
+
+    monkeypatch.setattr(ordered, "_brackets", wrong)
+    with pytest.raises(Exception, match="outside of its bracket"):
+        ordered.exact_quantiles(values, "v", {"median": 0.5}).collect()
+
+
+def test_staged_tables_follow_their_files(spark, tmp_path):
+    from tidemark.session import staged
+
+    spark.range(3).write.parquet(f"{tmp_path}/t.parquet")
+
+    def make():
+        return spark.read.parquet(f"{tmp_path}/t.parquet")
+
+    assert staged(spark, str(tmp_path), "copy", make).count() == 3
+    spark.range(4).write.mode("append").parquet(f"{tmp_path}/t.parquet")
+    assert staged(spark, str(tmp_path), "copy", make).count() == 7

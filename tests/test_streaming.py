@@ -84,3 +84,18 @@ def test_batch_scores_land_once_per_batch(spark, tmp_path):
     saved = spark.read.parquet(sink)
     assert saved.select("batch").distinct().count() == 2
     assert {(r.id, r.score) for r in saved.collect()} == {(1, 0.5), (2, 0.9)}
+
+
+def test_keyed_append_loses_no_late_row_and_knows_keys_for_good(spark, tmp_path):
+    source, sink, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    run = lambda: refresh.append_new(
+        refresh.landing(spark, source, schema(spark), files_per_batch=1), sink, mark, ["id"]
+    )
+    land(spark, source, [(1, at(20), 5.0), (1, at(20), 4.0), (2, at(20), 5.0)])
+    run()
+    land(spark, source, [(2, at(28), 9.0), (3, at(1), 5.0)])   # a known key, and a row weeks late
+    run()
+    land(spark, source, [(1, at(28), 9.0), (4, at(28), 5.0)])
+    run()
+    rows = sorted((r.id, r.value) for r in spark.read.parquet(sink).collect())
+    assert rows == [(1, 4.0), (2, 5.0), (3, 5.0), (4, 5.0)]

@@ -19,27 +19,28 @@ from pyspark.sql import functions as F
 
 from tidemark.session import measured
 
-RANGES = 1024
+RANGES = 1024         # ranges at least
+RANGE_KEYS = 1_000_000  # distinct keys in a range at most, on average
 ACCURACY = 10_000  # the sketch is off by at most 1/ACCURACY of the ranks
 MARGIN = 0.001     # ten times that, to either side
 
 
-def _cut_points(keys: DataFrame, key: str, ranges: int) -> DataFrame:
+def _cut_points(keys: DataFrame, key: str, ranges: int, unique: bool) -> DataFrame:
     """One row: a sorted array of at most ``ranges - 1`` distinct keys.
 
     Taking the smallest hashes is a repeatable sample, and a top-k is pruned in
-    every task before anything is sent on.
+    every task before anything is sent on.  Keys known to be unique need no
+    ``distinct`` and so no shuffle.
     """
+    own = keys.select(key) if unique else keys.select(key).distinct()
     return (
-        keys.select(key)
-        .distinct()
-        .orderBy(F.xxhash64(key), key)
+        own.orderBy(F.xxhash64(key), key)
         .limit(ranges - 1)
         .agg(F.sort_array(F.collect_list(key)).alias("cuts"))
     )
 
 
-def _with_range(counts: DataFrame, key: str, ranges: int) -> DataFrame:
+def _with_range(counts: DataFrame, key: str, ranges: int, unique: bool) -> DataFrame:
     """Add ``_range``: how many cut points lie below the key, by binary search.
 
     Every halving is a column of its own that builds on the one before, which
@@ -52,7 +53,7 @@ def _with_range(counts: DataFrame, key: str, ranges: int) -> DataFrame:
         steps.append((found + F.when(probe < F.col(key), 1 << bit).otherwise(0)).alias(f"_step{bit}"))
         found = F.col(f"_step{bit}")
     return (
-        counts.withColumn("_cuts", _cut_points(counts, key, ranges).scalar())
+        counts.withColumn("_cuts", _cut_points(counts, key, ranges, unique).scalar())
         .select(*counts.columns, "_cuts", *steps)
         .select(*counts.columns, found.alias("_range"))
     )
@@ -64,7 +65,7 @@ def running_totals(
     weights: Sequence[str],
     group: Sequence[str] = (),
     descending: bool = False,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``<w>_before`` and ``<w>_total`` for every weight column.
 
@@ -72,11 +73,12 @@ def running_totals(
     sums the weight over the keys ahead of this one in its group (the smaller
     ones, or the larger ones if ``descending``), ``total`` over the whole group.
     The counts are written once, as the cut points, the offsets and the totals
-    each look at them.
+    each look at them.  The number of ranges follows the number of keys.
     """
     group = list(group)
     counts = measured(counts, "counts")
-    placed = _with_range(counts, key, ranges)
+    ranges = ranges or max(RANGES, -(-counts.count() // RANGE_KEYS))
+    placed = _with_range(counts, key, ranges, unique=not group)
 
     def ahead(order: str) -> Column:
         return F.col(order).desc() if descending else F.col(order).asc()
@@ -104,7 +106,7 @@ def running_totals(
     keys = [*group, "_range"]
     offsets = offsets.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     if not group:
-        offsets = F.broadcast(offsets)  # at most ``ranges`` rows
+        offsets = F.broadcast(offsets)  # at most ``ranges`` rows, one per million keys
     match = reduce(and_, [placed[k].eqNullSafe(offsets[f"_of_{k}"]) for k in keys])
     return placed.join(offsets, match).select(
         *counts.columns,
@@ -126,27 +128,27 @@ def value_ranks(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFra
     return running_totals(counts, value, ["n"], group)
 
 
-def _brackets(values: DataFrame, probabilities: Sequence[float], group: Sequence[str]) -> DataFrame:
+def _brackets(values: DataFrame, probabilities: Sequence[float], group: Sequence[str], margin: float) -> DataFrame:
     """Per group and probability, two values that enclose the exact quantile.
 
     The sketch is off by at most ``1 / ACCURACY`` of the ranks and the bracket
-    reaches ``MARGIN`` to either side.  Where the margin is less than a few rows
+    reaches ``margin`` to either side.  Where the margin is less than a few rows
     the bracket is the whole group.
     """
-    ends = [min(max(p + side * MARGIN, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
+    ends = [min(max(p + side * margin, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
     sketch = values.groupBy(*group).agg(
         F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
         F.count(F.lit(1)).alias("_n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
     )
-    small = F.col("_n") * MARGIN < 4
+    small = F.col("_n") * margin < 4
     bounds = []
     for k, p in enumerate(probabilities):
         low, high = F.get("_ends", F.lit(2 * k)), F.get("_ends", F.lit(2 * k + 1))
         bounds += [
-            F.when(small | F.lit(p <= MARGIN), F.col("_min")).otherwise(low).alias(f"low{k}"),
-            F.when(small | F.lit(p >= 1 - MARGIN), F.col("_max")).otherwise(high).alias(f"high{k}"),
+            F.when(small | F.lit(p <= margin), F.col("_min")).otherwise(low).alias(f"low{k}"),
+            F.when(small | F.lit(p >= 1 - margin), F.col("_max")).otherwise(high).alias(f"high{k}"),
         ]
     return sketch.select(*group, F.struct("_min", *bounds).alias("_b"))
 
@@ -156,18 +158,20 @@ def exact_quantiles(
     value: str,
     quantiles: dict[str, float],
     group: Sequence[str] = (),
+    margin: float = MARGIN,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles as doubles: one row per group.
 
     A mergeable sketch first brackets each quantile.  In a second pass the
     values inside the brackets are counted one by one and those between two
     brackets only as a sum, so hardly anything is shuffled, and the ranks in
-    the brackets are still exact.
+    the brackets are still exact.  Should a sketch miss, so that a quantile lies
+    outside of its bracket, the query fails and ``margin`` has to be raised.
     """
     group = list(group)
     values = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_v"))
     probabilities = sorted({float(q) for q in quantiles.values()})
-    brackets = _brackets(values, probabilities, group)
+    brackets = _brackets(values, probabilities, group, margin)
     if group:
         placed = values.join(measured(brackets, "brackets"), group)
     else:
@@ -175,12 +179,16 @@ def exact_quantiles(
     v, spots = F.col("_v"), range(len(probabilities))
     inside = reduce(or_, [(v >= F.col(f"_b.low{k}")) & (v <= F.col(f"_b.high{k}")) for k in spots])
     below = F.greatest(F.col("_b._min"), *[F.when(v > F.col(f"_b.high{k}"), F.col(f"_b.high{k}")) for k in spots])
-    reduced = placed.select(*group, F.when(inside, v).otherwise(below).alias("_v"))
-    ranked = value_ranks(reduced, "_v", group)
+    reduced = placed.select(*group, F.when(inside, v).otherwise(below).alias("_v"), inside.alias("_inside"))
+    counts = reduced.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("n"), F.count_if("_inside").alias("_own"))
+    ranked = running_totals(counts, "_v", ["n"], group)
 
     def at(position: Column) -> Column:
         here = (F.col("n_before") <= position) & (position < F.col("n_before") + F.col("n"))
-        return F.max(F.when(here, F.col("_v")))
+        # values between two brackets are counted behind those at the edge before them
+        inside_it = position < F.col("n_before") + F.col("_own")
+        missed = F.raise_error(F.lit("a quantile lies outside of its bracket: raise the margin")).cast("double")
+        return F.max(F.when(here & inside_it, F.col("_v")).when(here, missed))
 
     picks = []
     for name, q in quantiles.items():
