@@ -21,11 +21,6 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
-def iso_text(day: Column) -> Column:
-    """``2024-03-15``."""
-    return F.date_format(day, "yyyy-MM-dd")
-
-
 def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.learn.prepare import preparation, without_working_columns
-from tidemark.schemas import LABEL, NUMERIC_FEATURES, SNAPSHOT_NUMERIC, STATIC_CATEGORIES
+from tidemark.schemas import LABEL, NUMERIC_FEATURES, STATIC_CATEGORIES
 
 SEED = 42
 
@@ -61,11 +61,6 @@ def fit(
     return Pipeline(stages=[*preparation(numeric, categories), classifier]).fit(train)
 
 
-def fit_snapshot(train: DataFrame, **options) -> PipelineModel:
-    """The model on the features a single snapshot can give."""
-    return fit(train, boosted_snapshot(**options), SNAPSHOT_NUMERIC)
-
-
 def score(model, df: DataFrame, name: str = "risk_score") -> DataFrame:
     """Probability of class 1 as a plain column."""
     scored = model.transform(df).withColumn(name, vector_to_array("probability")[1])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,19 @@ def publish(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[plain(field) for field in df.schema])
 
 
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def registrar(queries: dict[str, Query]) -> Callable[[Query], Query]:
+    """A decorator that registers a query by name, with the output convention applied."""
+
+    def query(make: Query) -> Query:
+        queries[make.__name__] = lambda spark, folder: publish(make(tune(spark), folder))
+        return make
+
+    return query
+
+
 def flat(spark: SparkSession, folder: str) -> DataFrame:
     return tables.sales_flat(tune(spark), folder)
 

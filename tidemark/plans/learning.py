@@ -10,27 +10,22 @@ from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml import Pipeline
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.learn import explain, metrics, models, prepare, price, scenarios, split
 from tidemark.operators import panel, profile
 from tidemark.plans import bases
-from tidemark.plans.bases import publish
-from tidemark.schemas import LABEL, NUMERIC_FEATURES, SNAPSHOT_FEATURES, STATIC_CATEGORIES
-from tidemark.session import fingerprint, fresh_path, measured, staged, tune
+from tidemark.plans.bases import Query, publish, registrar
+from tidemark.schemas import LABEL, NUMERIC_FEATURES, SNAPSHOT_FEATURES, SNAPSHOT_NUMERIC, STATIC_CATEGORIES
+from tidemark.session import fingerprint, fresh_path, measured, staged
 
-Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+query = registrar(QUERIES)
 KEYS = ["company_id", "month_index"]
 RECORD_COLUMNS = ["length", "spaces", "periods", "marks", "zeros", "toxic"]
 
 
-def query(make: Query) -> Query:
-    QUERIES[make.__name__] = lambda spark, folder: publish(make(tune(spark), folder))
-    return make
-
-
 def _parts(spark, folder) -> DataFrame:
     """Feature rows with their split and both kinds of weight, written once."""
 
@@ -66,7 +61,7 @@ def model(spark, folder, name: str):
         "BoostedDepth5": lambda: models.fit(train, models.boosted(), weight="ratio"),
         "BoostedDepth6": lambda: models.fit(train, models.boosted_deep(), weight="ratio"),
         "Snapshot": lambda: models.fit(
-            train, models.boosted_snapshot(), models.SNAPSHOT_NUMERIC, weight="ratio"
+            train, models.boosted_snapshot(), SNAPSHOT_NUMERIC, weight="ratio"
         ),
     }
     return fitted(spark, folder, name, makers[name])

@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans import bases, learning
-from tidemark.plans.bases import publish
+from tidemark.plans.bases import Query, registrar
 from tidemark.learn import models
-from tidemark.session import fresh_path, tune
+from tidemark.session import fresh_path
 from tidemark.sources import tables
 from tidemark.streaming import refresh
 
-Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-
-
-def query(make: Query) -> Query:
-    QUERIES[make.__name__] = lambda spark, folder: publish(make(tune(spark), folder))
-    return make
+query = registrar(QUERIES)
 
 
 def event_stream(spark, folder) -> DataFrame:

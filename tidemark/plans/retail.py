@@ -2,27 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import dates, numbers, text
 from tidemark.operators import clean, growth, ordered, reports, rfm, star
-from tidemark.plans.bases import features, flat, publish, sales, segments, star_tables
-from tidemark.session import fresh_path, tune
+from tidemark.plans.bases import Query, features, flat, registrar, sales, segments, star_tables
+from tidemark.session import fresh_path
 from tidemark.sources import files, tables
 
-Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-
-
-def query(make: Query) -> Query:
-    """Register under the function's name, with the output convention applied."""
-    QUERIES[make.__name__] = lambda spark, folder: publish(make(tune(spark), folder))
-    return make
+query = registrar(QUERIES)
 
 
 # --- files ------------------------------------------------------------------------

@@ -2,29 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import clip, guarded_ratio
 from tidemark.functions.rules import outcome_label, risk_tier
 from tidemark.operators import ordered, panel, profile, risk_reports, star
 from tidemark.plans import bases
-from tidemark.plans.bases import publish
+from tidemark.plans.bases import Query, registrar
 from tidemark.schemas import ENGINEERED, FEATURES, LABEL
-from tidemark.session import measured, tune
+from tidemark.session import measured
 
-Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+query = registrar(QUERIES)
 KEYS = ["company_id", "month_index"]
 
 
-def query(make: Query) -> Query:
-    QUERIES[make.__name__] = lambda spark, folder: publish(make(tune(spark), folder))
-    return make
-
-
 def _windowed(spark, folder):
     return panel.window_features(bases.entity_panel(spark, folder), "month_index")
 
@@ -272,9 +264,11 @@ def op_sort_dynamic(spark, folder):
 
 # --- profiles ---------------------------------------------------------------------
 
+# --- fixed values: the metrics of the correlation matrix ---
 CORE_METRICS = [
     "mrr", "cash_on_hand", "burn_rate", "runway_months", "churn_rate", "nps_score", "attrition_rate", "ltv_cac_ratio", "growth_rate_mom",
 ]
+# ------------------------------------------------------------
 
 
 @query

@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean, profile, survey
 from tidemark.plans import bases
-from tidemark.plans.bases import flat, publish, sales
-from tidemark.session import measured, tune
+from tidemark.plans.bases import Query, flat, registrar, sales
+from tidemark.session import measured
 
-Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+query = registrar(QUERIES)
 LAST_YEAR = 2001
 
 
-def query(make: Query) -> Query:
-    QUERIES[make.__name__] = lambda spark, folder: publish(make(tune(spark), folder))
-    return make
-
-
 def _all_rows(spark, folder):
     return survey.with_totals(bases.survey(spark, folder))
 
