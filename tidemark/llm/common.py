@@ -27,6 +27,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smallest_hashes(df: DataFrame, text: str, count: int) -> DataFrame:
+    """Rows (text, hash) of the ``count`` distinct texts of smallest hashes, copies included.
+
+    Only hashes are sorted; the texts are picked by comparison where they are
+    read.  Without rows the result is empty.
+    """
+    rows = df.select(F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    last = rows.select("hash").distinct().orderBy("hash").limit(count).agg(F.max("hash")).first()[0]
+    return rows.where(F.lit(False) if last is None else F.col("hash") <= last)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK), lambda w: w != "")

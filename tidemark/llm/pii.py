@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_rows
+from tidemark.llm.common import arrow_rows, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -283,10 +283,7 @@ def fit(df: DataFrame, text: str = "text", docs: int = SAMPLE_DOCS, limit: int =
     The documents with the smallest hashes are taken, whole; the driver gets the
     numbers of their features and their base labels, no text.
     """
-    chosen = (
-        df.where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
-        .distinct().orderBy("hash").limit(docs)
-    )
+    chosen = smallest_hashes(df.where(F.col(text).rlike("[0-9@]")), text, docs)
     schema = T.StructType(
         [
             T.StructField("hash", T.LongType()),
@@ -307,7 +304,7 @@ def fit(df: DataFrame, text: str = "text", docs: int = SAMPLE_DOCS, limit: int =
         return [hashes, *out]
 
     # one long text can hold millions of tokens: documents count up to the limit
-    marked = arrow_rows(chosen, ["text", "hash"], work, schema).where(F.size("labels") <= limit // 10)
+    marked = arrow_rows(chosen, ["text", "hash"], work, schema).where(F.size("labels") <= limit // 10).dropDuplicates(["hash"])
     samples, held = [], 0
     for row in sorted(marked.collect(), key=lambda r: r["hash"]):
         if held + len(row["labels"]) > limit:
