@@ -97,7 +97,7 @@ def search(
         near = (first & (reduce(add, differing) <= reach)) if not whole else first
         probes = probes.withColumnsRenamed({"_segment": "_at", "_value": "_looked"})
         met = stored(
-            probes.join(index, (F.col("_at") == F.col("_segment")) & (F.col("_looked") == F.col("_value")) & near)
+            probes.hint("merge").join(index, (F.col("_at") == F.col("_segment")) & (F.col("_looked") == F.col("_value")) & near)
             .select(*[f"t{j}" for j in range(segments)], *names, "_n", reduce(add, differing).cast("int").alias("_distance")),
             "codes_met",
         )
