@@ -110,6 +110,8 @@ def test_join_equals_brute_force(spark, monkeypatch, width, num, den, paired, sm
     monkeypatch.setattr(jaccard, "PAIRED", paired)
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "FREQUENT", 8)
+    monkeypatch.setattr(jaccard, "WIDE", paired)
+    monkeypatch.setattr(jaccard, "KEYS_SENT", paired)  # both ways of fetching texts
     rng = random.Random(width * num + paired)
     texts = varied(rng, 220) + ["", "  \n", "One", "one", "A b", "a B", "x " * 4000, "x " * 4001]
     rows = list(enumerate(texts))
