@@ -42,6 +42,28 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+BODY = "".join(f"<p>{'Some words of the body, one line of it. ' * 8}</p>" for _ in range(6))
+AD = "<div class=ad>buy</div>"
+
+
+@pytest.mark.parametrize(
+    "page, has, lacks",
+    [
+        (f"<article><p>Teaser of another page</p></article>{BODY}", ["Some words"], []),
+        (f"<article>{BODY}</article><div>Powered by a tool</div>", ["Some words"], ["Powered"]),
+        (f"<p>Short opening.</p>{AD}{BODY}{AD}<p>Short end.</p>{AD}<p>PS.</p>", ["Short opening.", "Short end.", "PS."], []),
+        (f"<article><p>Short opening.</p>{AD}{AD}{AD}{BODY}</article>", ["Short opening."], []),
+        (f"{BODY}<p>See <a href=x>the whole source of it</a></p>", ["whole source"], []),
+        (BODY + "".join(f"<div><a href={i}>Other page {i}</a></div>" for i in range(9)), ["Some words"], ["Other page"]),
+        (f"{BODY}{AD}{AD}<div>tiny far line</div>", ["Some words"], ["tiny"]),
+    ],
+)
+def test_windows_choose_and_marks_are_evidence(page, has, lacks):
+    text = html.main_text(f"<body>{page}</body>")
+    assert text.count("Some words") == 48
+    assert all(part in text for part in has) and not any(part in text for part in lacks)
+
+
 def test_surge_and_dive_are_where_window_sums_leave_and_reach_zero():
     lengths = [0, 0, 0, 5, 0, 9, 0, 0, 0, 0, 2]
     assert html.runs_of(lengths, 3) == [(1, 6), (8, 11)]

@@ -4,16 +4,19 @@ The markup is stripped into lines: a line is the text of one block element, and
 a line break or an emptied element leaves a line end too.  Elements that are
 page furniture by tag, role or class (menus, headers, footers, sidebars,
 notices, adverts, forms, reader comments) leave a run of empty lines, so that
-they show as a gap in the distribution.  Text lengths are then summed over
-windows of ``WINDOW`` lines; a window sum that leaves zero is a surge, one that
-returns to it a dive, and the text between a surge and its dive is a run.  Where
-the page marks its article, the runs inside it are kept.  Elsewhere a run is
-kept if its text outweighs its link text and it has at least ``SHARE`` of the
-mass of the heaviest run.
+they show as a gap in the distribution, and so do the edges of <article> and
+<main>.  A line's mass is its text less its link text twice, in a marked article
+its text ``EVIDENCE`` times; ``WINDOW`` or more link lines in a row have none.
+Masses are summed over windows of ``WINDOW`` lines; a window sum that leaves zero
+is a surge, one that returns to it a dive, and the text between a surge and its
+dive is a run.  A run is body if its highest window sum reaches the page's
+typical line (the geometric mean).  Kept are the bodies, the short runs next to
+them, and the short runs of a marked article that has a body.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from html import unescape
 
@@ -23,7 +26,8 @@ from pyspark.sql import types as T
 from tidemark.llm.common import arrow_rows
 
 WINDOW = 3
-SHARE = 0.1
+NEAR = 3 * WINDOW  # lines between runs next to each other: a stripped element and a few links
+EVIDENCE = 2       # weight of text in a marked article
 
 # --- fixed values: element and class names of HTML pages ------------------------
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "xmp", "math", "canvas", "object"}
@@ -80,7 +84,7 @@ def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
 def lines_of(html: str) -> list[tuple[str, int, bool]]:
     """The page as lines: (text, characters of it in links, inside the article).
 
-    A line without text stands for stripped furniture.
+    A line without text stands for stripped furniture or an edge of the article.
     """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
@@ -101,7 +105,9 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         nonlocal article, links
         while len(stack) > upto:
             tag = stack.pop()
-            article -= tag in ARTICLE
+            if tag in ARTICLE:
+                article -= 1
+                lines.extend([("", 0, False)] * (0 if article else WINDOW))
             links -= tag == "a"
             if skip_at and skip_at[-1] == len(stack):
                 skip_at.pop()
@@ -163,7 +169,9 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             lines.extend([("", 0, article > 0)] * WINDOW)
             skip_at.append(len(stack))
         stack.append(tag)
-        article += tag in ARTICLE
+        if tag in ARTICLE:
+            lines.extend([("", 0, False)] * (0 if article else WINDOW))
+            article += 1
         links += tag == "a"
     flush()
     return lines
@@ -190,20 +198,43 @@ def runs_of(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
     return runs
 
 
+def masses(lines: list[tuple[str, int, bool]], window: int = WINDOW) -> list[int]:
+    """What every line adds to a window sum; fewer than ``window`` link lines beside text count as text."""
+    mass = [EVIDENCE * len(text) if inside else max(len(text) - 2 * linked, 0) for text, linked, inside in lines]
+    out, i = list(mass), 0
+    while i < len(lines):
+        stop = i
+        while stop < len(lines) and lines[stop][0] and not mass[stop]:
+            stop += 1
+        beside = (i and mass[i - 1]) or (stop < len(lines) and mass[stop])
+        if i < stop < i + window and beside:
+            out[i:stop] = [len(line[0]) for line in lines[i:stop]]
+        i = stop + 1
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by line ends; empty if there is none."""
     if not html:
         return ""
     lines = lines_of(html)
-    marked = any(inside and text for text, _, inside in lines)
-    lengths = [len(text) if inside or not marked else 0 for text, _, inside in lines]
-    runs = runs_of(lengths)
-    if not marked and runs:
-        mass = [sum(lengths[a:b]) for a, b in runs]
-        own = [m - 2 * sum(lines[i][1] for i in range(a, b)) for m, (a, b) in zip(mass, runs, strict=True)]
-        top = max(own)
-        runs = [r for r, m in zip(runs, own, strict=True) if m >= SHARE * top] if top > 0 else []
-    return "\n".join(lines[i][0] for a, b in runs for i in range(a, b) if lengths[i])
+    mass = masses(lines)
+    runs = [[i for i in range(a, b) if mass[i]] for a, b in runs_of(mass)]
+    if not runs:
+        return ""
+    typical = math.exp(sum(math.log(m) for m in mass if m) / sum(1 for m in mass if m)) * (1 - 1e-9)
+    inside = [lines[r[0]][2] for r in runs]
+    kept = [max(sum(mass[i : i + WINDOW]) for i in range(r[0], r[-1] + 1)) >= typical for r in runs]
+    if any(k for k, own in zip(kept, inside, strict=True) if own):
+        kept = [k or own for k, own in zip(kept, inside, strict=True)]
+    # outwards from the bodies; a marked article has no short neighbours outside it
+    for step in (1, -1):
+        for i in range(len(runs))[::step]:
+            j = i - step
+            if 0 <= j < len(runs) and kept[j] and (inside[i] or not inside[j]):
+                first, second = (runs[j], runs[i]) if step == 1 else (runs[i], runs[j])
+                kept[i] = kept[i] or second[0] - first[-1] - 1 <= NEAR
+    return "\n".join(lines[i][0] for r, k in zip(runs, kept, strict=True) if k for i in r)
 
 
 SCHEMA = T.StructType(
