@@ -58,6 +58,19 @@ def test_threshold_is_exact_on_both_sides(spark):
     assert {n: left[f"line number {n} of all"] for n in range(8, 13)} == {8: 8, 9: 9, 10: 1, 11: 1, 12: 1}
 
 
+def test_short_lines_and_few_sites(spark):
+    rows = [(d, f"own line {d}\nshare\n\n\t\nend {d}", "en", f"s{d}", 0) for d in range(12)]
+    got = {r.doc_id: r for r in lines.dedupe_lines(spark.createDataFrame(rows, DOC)).collect()}
+    assert "share" in got[0].text and all("share" not in got[d].text and "\n\n\t\n" in got[d].text for d in range(1, 12))
+    few = [(d, f"own line {d}\n{'on half' if d < 3 else 'other'}\n{'on two' if d < 2 else d}", "en", f"s{d % 6}", 0) for d in range(6)]
+    table = spark.createDataFrame(few, DOC)
+    assert lines.site_threshold(table) == 3
+    left = {r.doc_id: r.text.split("\n") for r in lines.dedupe_lines(table).collect()}
+    assert [d for d in left if "on half" in left[d]] == [0] and sorted(d for d in left if "on two" in left[d]) == [0, 1]
+    alone = [(d, "the same", "en", None, 0) for d in range(9)]
+    assert {r.n_removed for r in lines.dedupe_lines(spark.createDataFrame(alone, DOC)).collect()} == {0}
+
+
 # --- shingle join -----------------------------------------------------------------
 
 

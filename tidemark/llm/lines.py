@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import parts, stored, whole
 
-MIN_SITES = 10     # distinct sites that make a line boilerplate
-MIN_CHARS = 20     # shorter lines tell nothing about where they come from
+MIN_SITES = 10     # distinct sites that make a line boilerplate, however many there are
+MIN_CHARS = 1      # every line that isn't blank can be boilerplate
 LOG_REGISTERS = 12  # the sketch is off by 1.04 / sqrt(2 ** LOG_REGISTERS) on average
 DEVIATIONS = 4     # estimates within so many deviations of the threshold are counted
 
@@ -31,11 +31,20 @@ def _lines(df: DataFrame, doc_id: str, text: str, site: str, min_chars: int) ->
         F.posexplode(F.split(text, "\n", -1)).alias("_place", "_line"),
     )
     line = F.trim("_line")
-    return row.where(F.char_length(line) >= min_chars).select(
+    return row.where((F.char_length(line) >= min_chars) & line.rlike(r"\S")).select(
         "_row1", "_row2", "_doc", "_site", "_place", F.xxhash64(line).alias("_h1"), F.xxhash64(F.lit(1), line).alias("_h2")
     )
 
 
+def site_threshold(df: DataFrame, site: str = "source") -> int:
+    """Sites that make a line boilerplate in ``df``: half of its sites, two at least, ``MIN_SITES`` at most.
+
+    Of few sites a majority is asked for; ten sites are enough in a corpus of any size.
+    """
+    sites = df.select(F.coalesce(F.col(site).cast("string"), F.lit("\0"))).distinct().count()
+    return min(MIN_SITES, max(2, (sites + 1) // 2))
+
+
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """Hashes of the lines on at least ``min_sites`` distinct sites, and their first place."""
     error = DEVIATIONS * 1.04 / 2 ** (LOG_REGISTERS / 2)
@@ -72,19 +81,20 @@ def dedupe_lines(
     doc_id: str = "doc_id",
     text: str = "text",
     site: str = "source",
-    min_sites: int = MIN_SITES,
+    min_sites: int | None = None,
     min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """``df`` with boilerplate lines taken out of ``text``, plus n_lines and n_removed (long).
 
     Lines end at \\n and are compared without blanks at their ends.  A null text
     stays null with 0 lines; a null site counts as one site.  A text of which
-    every line goes becomes empty; its row stays.  Rows that are equal in id,
+    every line goes becomes empty; its row stays.  Blank lines stay.  Without
+    ``min_sites`` the number of sites decides (``site_threshold``).  Rows that are equal in id,
     site and text are treated alike.  Columns named n_lines or n_removed are
     replaced, other columns are kept; an empty table gives an empty result.
     """
     lines = _lines(df, doc_id, text, site, min_chars)
-    common = boilerplate(lines, min_sites)
+    common = boilerplate(lines, site_threshold(df, site) if min_sites is None else min_sites)
     first = F.col("_first")
     again = ~(first["_doc"].eqNullSafe(F.col("_doc")) & (first["_row1"] == F.col("_row1")) & (first["_place"] == F.col("_place")))
     places = (
