@@ -133,6 +133,24 @@ def test_join_equals_brute_force(spark, monkeypatch, width, num, den, paired, sm
     assert got == plain_components(rows, width, num, den)
 
 
+@pytest.mark.parametrize("small, block, tokens, num", [(48, 512, 1 << 18, 80), (3, 5, 1 << 18, 80), (3, 512, 700, 90)])
+def test_numbers_of_links_equal_brute_force(spark, monkeypatch, small, block, tokens, num):
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(jaccard, "COLUMNS", 64)
+    monkeypatch.setattr(jaccard, "FREQUENT", 8)
+    texts = varied(random.Random(small + block), 160) + ["", "One", "one", "A b"]
+    texts += [texts[0]] * 3
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    sets = [plain_set(t, 3) for t in texts]
+    want = {
+        i: sum(1 for j, y in enumerate(sets) if i != j and x and y and 100 * len(x & y) >= num * len(x | y))
+        for i, x in enumerate(sets)
+    }
+    assert {r.doc_id: r.n_links for r in jaccard.join(table, width=3, num=num, den=100).collect()} == want
+
+
 def test_signatures_share_an_entry_for_every_link():
     rng = random.Random(4)
     for _ in range(300):
