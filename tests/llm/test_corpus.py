@@ -241,6 +241,27 @@ def test_targets_and_takes(spark):
     assert rows.columns == [*table.columns, "_round"] and rows.count() > 0
 
 
+def test_emitted_words_meet_the_targets(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{j}" for j in range(rng.randint(1, 90))), f"s{i % 5}") for i in range(300)]
+    rows += [(1000, " \t" + "\n ".join(f"v{j}" for j in range(50_000)) + "\n", "z long"), (1001, "a b c d e f g h i j", "tiny"), (1002, None, "tiny")]
+    rows += [(1003, "one two three", "s1")] * 2 + [(None, "no id", "s2"), (1001, "other text of one id", "s3")]
+    table = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, source string, _size int")
+    settings = {"shard_words": 3000, "shard_docs": 60}
+    plan = mixing.mix(table, ["doc_id"], **settings).collect()
+    target = {r.source: r.target for r in plan}
+    emitted = defaultdict(int)
+    whole = {t for _, t, _ in rows}
+    for r in mixing.mixed_rows(table, "doc_id", **settings).collect():
+        emitted[r.source] += len(r.text.split())
+        assert r.text in whole or any(t.startswith(r.text) for t in whole if t)
+        assert r._size == 7
+    assert 1000 < target["z long"] < 40_000                     # a part of its only document
+    for source, words in target.items():
+        assert abs(emitted[source] - words) <= 2 * mixing.BLOCK, source
+    assert mixing.mixed_rows(table.limit(0), "doc_id").count() == 0
+
+
 def test_seats_go_to_the_highest_quotients(spark):
     rng = random.Random(10)
     cells, want = [], {}

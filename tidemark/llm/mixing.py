@@ -164,22 +164,47 @@ def mix(
     )
 
 
+def _first_words(text: Column, count: Column) -> Column:
+    """The text up to the end of word number ``count``; what stands before the first word stays."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), count.cast("int")), "")
+
+
 def mixed_rows(df: DataFrame, key: str, text: str = "text", source: str = "source", **settings) -> DataFrame:
     """The rows of ``df`` that the mix takes, each as often as it takes them.
 
-    A row is given ``taken / size`` times, rounded; only the last document of a
-    shard's line is taken in part.  Rows without words are not taken.  Rows of
-    one key share their counts.  Columns stay as they are.
+    A row is given whole ``taken / size`` times, rounded down; what is left over
+    of ``taken`` is given as its first words, so the words of a source are those
+    of the blocks it is due.  Only the last document of a shard's line is cut.
+    Rows without words are not taken.  Rows of one key, source and text share
+    their words evenly.  Other columns stay as they are.
     """
-    plan = mix(df, [key], text, source, **settings)
-    times = (
-        plan.groupBy(F.col(key).alias("_key"))
-        .agg(F.round(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).cast("int").alias("_times"))
-        .where("_times > 0")
+    settled = df.select(
+        whole(df), F.col(key).alias("_key"), F.xxhash64(text).alias("_text1"), F.xxhash64(F.lit(1), text).alias("_text2"),
+        F.col(text).alias("_text"), F.col(source).alias("_source"),
     )
-    rows = df.select(whole(df), F.col(key).alias("_own"))
-    return (
-        rows.join(times, rows["_own"].eqNullSafe(times["_key"]))
-        .select("_whole", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_round"))
-        .select(*parts(df))
+    same = ["_key", "_text1", "_text2"]
+    plan = mix(settled, same, "_text", "_source", **settings).groupBy(*same, "source").agg(
+        F.sum("taken").alias("_taken"), F.max("size").alias("_size"), F.count(F.lit(1)).alias("_copies")
+    ).where("_taken > 0").withColumnsRenamed({"_key": "_k", "_text1": "_t1", "_text2": "_t2", "source": "_s"})
+    rows = settled.join(
+        plan,
+        settled["_key"].eqNullSafe(plan["_k"]) & (settled["_text1"] == plan["_t1"]) & (settled["_text2"] == plan["_t2"])
+        & settled["_source"].eqNullSafe(plan["_s"]),
+    ).drop("_k", "_t1", "_t2", "_s")
+    one, several = rows.where("_copies = 1"), rows.where("_copies > 1")
+    # of equal rows the first ones take a word more where the words don't divide
+    turn = F.row_number().over(Window.partitionBy(*same, "_source").orderBy(F.lit(0)))
+    even = F.floor(F.col("_taken") / F.col("_copies")) + F.when(F.col("_turn") <= F.col("_taken") % F.col("_copies"), 1).otherwise(0)
+    own = one.withColumn("_own", F.col("_taken")).select("_whole", "_size", "_own").unionByName(
+        several.withColumn("_turn", turn).select("_whole", "_size", even.cast("long").alias("_own"))
+    )
+    # the words of each time: all of them, or what is left over
+    rest = F.col("_own") % F.col("_size")
+    times = F.concat(
+        F.array_repeat(F.col("_size"), F.floor(F.col("_own") / F.col("_size")).cast("int")),
+        F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")),
     )
+    given = own.select("_whole", "_size", F.explode(times).alias("_words"))
+    own_text = F.col("_whole").getField(text)
+    cut = F.when(F.col("_words") == F.col("_size"), own_text).otherwise(_first_words(own_text, F.col("_words")))
+    return given.select(*[cut.alias(c) if c == text else part for c, part in zip(df.columns, parts(df), strict=True)])
