@@ -61,6 +61,21 @@ def test_windows_stay_current(spark, tmp_path):
     assert got == {1: (5.0, 1), 2: (4.0, 2)}
 
 
+def test_late_events_count_in_their_window(spark, tmp_path):
+    source, sink, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    run = lambda: refresh.keep_current(
+        refresh.windowed_totals(refresh.landing(spark, source, schema(spark)), "ts", "value"), sink, mark
+    )
+    land(spark, source, [(1, at(1, 3), 5.0), (2, at(20, 4), 2.5)])
+    run()
+    land(spark, source, [(3, at(21), 1.0)])
+    run()
+    land(spark, source, [(4, at(1, 9), 1.5), (5, at(1, 10), None), (6, None, 9.0)])   # weeks behind the newest event
+    run()
+    got = {r.bucket_start.day: (float(r.revenue), r.events) for r in refresh.current_totals(spark, sink).collect()}
+    assert got == {1: (6.5, 3), 20: (2.5, 1), 21: (1.0, 1)}
+
+
 def test_alerts_follow_the_running_totals(spark, tmp_path):
     source, fact, alerts, mark = (str(tmp_path / n) for n in ("in", "fact", "alerts", "mark"))
     lines = "inward_date date, revenue double"

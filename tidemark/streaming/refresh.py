@@ -98,32 +98,30 @@ def append_files(stream: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def windowed_totals(
-    stream: DataFrame, event_time: str, amount: str, width: str = "1 day", lateness: str = "2 days"
-) -> DataFrame:
-    """Revenue and counts per time bucket."""
-    return (
-        stream.withWatermark(event_time, lateness)
-        .groupBy(F.window(event_time, width).alias("bucket"))
-        .agg(F.sum(F.col(amount).cast("decimal(14,2)")).alias("revenue"), F.count(F.lit(1)).alias("events"))
-        .select(F.col("bucket.start").alias("bucket_start"), "revenue", "events")
+def windowed_totals(stream: DataFrame, event_time: str, amount: str, width: str = "1 day") -> DataFrame:
+    """Revenue and count of every event with the start of its time bucket, for ``keep_current`` to sum.
+
+    Nothing is kept as state, so an event counts however late it comes.  Events
+    without a time are in no bucket.
+    """
+    return stream.select(
+        F.window(event_time, width)["start"].alias("bucket_start"),
+        F.col(amount).cast("decimal(14,2)").alias("revenue"),
+        F.lit(1).cast("long").alias("events"),
     )
 
 
-def keep_current(totals: DataFrame, sink: str, checkpoint: str) -> None:
-    """Update mode: every batch writes the buckets it changed."""
-    write_batches(totals, sink, checkpoint, lambda batch: batch, mode="update")
+def keep_current(totals: DataFrame, sink: str, checkpoint: str, key: str = "bucket_start") -> None:
+    """Every batch writes its own sums of the buckets it touches."""
+    rest = [c for c in totals.columns if c != key]
+    write_batches(totals, sink, checkpoint, lambda batch: batch.groupBy(key).agg(*[F.sum(c).alias(c) for c in rest]))
 
 
 def current_totals(spark: SparkSession, sink: str, key: str = "bucket_start") -> DataFrame:
-    """The newest version of every bucket."""
+    """The sums of all batches for every bucket."""
     saved = spark.read.parquet(sink)
     rest = [c for c in saved.columns if c not in (key, "batch")]
-    return (
-        saved.groupBy(key)
-        .agg(F.max_by(F.struct(*rest), "batch").alias("_newest"))
-        .select(key, "_newest.*")
-    )
+    return saved.groupBy(key).agg(*[F.sum(c).cast(saved.schema[c].dataType).alias(c) for c in rest])
 
 
 def batch_score(stream: DataFrame, sink: str, checkpoint: str, scorer: Callable[[DataFrame], DataFrame]) -> None:
