@@ -201,6 +201,15 @@ def test_personal_data_table(spark):
     assert pii.find(table.limit(0), ["doc_id"]).count() == 0
 
 
+def test_threshold_is_the_chance_at_the_recall(monkeypatch):
+    monkeypatch.setattr(secrets, "_platt", lambda margins, truth: (0.01, -3.0))   # all chances are low
+    monkeypatch.setattr(secrets, "EPOCHS", 1)
+    rng = random.Random(12)
+    drawn = [rng.random() < 0.3 for _ in range(300)]
+    net = secrets.train(["".join(rng.choices("abcdef0123456789" if d else "the of an ", k=24)) for d in drawn], [int(d) for d in drawn])
+    assert 0 < net.threshold < 0.1
+
+
 def test_network_learns_keys_and_keeps_recall(spark):
     rng = random.Random(5)
     texts, secret = [], []
