@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, hamming, html, jaccard, lines, mixing, pii, quality, secrets, syncmers
+from tidemark.llm import bpe, hamming, html, jaccard, lines, mixing, pii, quality, secrets, simhash, syncmers
 from tidemark.llm.common import table
 from tidemark.session import tune
 
@@ -240,3 +240,8 @@ SELECT query_id, rank, vec_id, distance FROM (
   FROM codes q JOIN codes n ON q.vec_id % 100 = 0 AND n.vec_id <> q.vec_id
 ) WHERE rank <= {hamming.K}
 """
+
+
+@query
+def op11_simhash_trie(spark, folder):
+    return simhash.near_groups(table(spark, folder, "documents"))
