@@ -12,10 +12,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, hamming, html, jaccard, lines, mixing, pii, quality, secrets, simhash, syncmers
+from tidemark.llm import bpe, hamming, html, jaccard, lines, merkle, mixing, periodic, pii, quality, secrets, simhash, syncmers
 from tidemark.llm.common import table
 from tidemark.session import tune
 
+#: The letters that ASCII lower case changes.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
@@ -245,3 +248,22 @@ SELECT query_id, rank, vec_id, distance FROM (
 @query
 def op11_simhash_trie(spark, folder):
     return simhash.near_groups(table(spark, folder, "documents"))
+
+
+@query
+def op12_merkle_midstates(spark, folder):
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    leaves = merkle.document_leaves(table(spark, folder, "documents"), tampered, F.translate("text", UPPER, LOWER))
+    return merkle.manifest(leaves)
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = periodic.find(docs.select("doc_id", periodic.planted(F.col("text"), F.col("doc_id")).alias("text")), ["doc_id"])
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.*",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
