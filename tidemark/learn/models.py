@@ -1,4 +1,4 @@
-"""Classifiers, calibration, search and persistence."""
+"""Classifiers, calibration and persistence."""
 
 from __future__ import annotations
 
@@ -6,13 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.learn.isotonic import MonotoneCurve, fit_curve
 from tidemark.learn.prepare import preparation, without_working_columns
 from tidemark.schemas import LABEL, NUMERIC_FEATURES, STATIC_CATEGORIES
 
@@ -70,54 +68,17 @@ def score(model, df: DataFrame, name: str = "risk_score") -> DataFrame:
 class Calibrated:
     """A classifier followed by a monotone map of its scores."""
 
-    def __init__(self, model: PipelineModel, curve):
+    def __init__(self, model: PipelineModel, curve: MonotoneCurve):
         self.model, self.curve = model, curve
 
     def score(self, df: DataFrame, name: str = "risk_score") -> DataFrame:
         raw = score(self.model, df, "raw_score")
-        mapped = self.curve.transform(raw).withColumn(name, F.col("_calibrated"))
-        return without_working_columns(mapped).drop("raw_score")
+        return self.curve.copy({self.curve.outputCol: name}).transform(raw).drop("raw_score")
 
 
 def calibrate(model: PipelineModel, validation: DataFrame, label: str = LABEL) -> Calibrated:
-    """Isotonic calibration.  Rows with one score enter as one weighted point,
-    which gives the same curve as the single rows."""
-    points = (
-        score(model, validation, "raw_score")
-        .groupBy("raw_score")
-        .agg(F.avg(F.col(label).cast("double")).alias("_rate"), F.count(F.lit(1)).cast("double").alias("_n"))
-    )
-    curve = IsotonicRegression(
-        featuresCol="raw_score", labelCol="_rate", weightCol="_n", predictionCol="_calibrated"
-    ).fit(points)
-    return Calibrated(model, curve)
-
-
-def grid_search(
-    train: DataFrame,
-    numeric: Sequence[str],
-    label: str,
-    folds: int = 10,
-    strengths: Sequence[float] = tuple(10.0**e for e in range(-3, 4)),
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Cross-validated accuracy over penalty kind and strength."""
-    size = train.count()
-    model = LogisticRegression(labelCol=label, maxIter=100, standardization=False)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(model.elasticNetParam, [0.0, 1.0])
-        .addGrid(model.regParam, [1.0 / (s * max(size, 1)) for s in strengths])
-        .build()
-    )
-    return CrossValidator(
-        estimator=Pipeline(stages=[*preparation(numeric, []), model]),
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=SEED,
-    ).fit(train)
+    """Isotonic calibration on the scores of ``validation``."""
+    return Calibrated(model, fit_curve(score(model, validation, "raw_score"), "raw_score", label, "risk_score"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

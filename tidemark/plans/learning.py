@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.learn import explain, metrics, models, prepare, price, scenarios, split
+from tidemark.learn import deploy, explain, metrics, models, prepare, price, scenarios, search, split
 from tidemark.operators import panel, profile
 from tidemark.plans import bases
 from tidemark.plans.bases import Query, publish, registrar
@@ -171,18 +171,10 @@ def ml_calibrate(spark, folder):
 @query
 def ml_grid_search(spark, folder):
     """Cross-validated accuracy per penalty kind and strength, best first."""
-    rows = split.row_split(bases.records(spark, folder), "record_id").where("split = 'train'").cache()
-    search = models.grid_search(rows, RECORD_COLUMNS, "outcome", parallelism=8)
-    table = [
-        ({p.name: float(v) for p, v in setting.items()}, float(score))
-        for setting, score in zip(search.getEstimatorParamMaps(), search.avgMetrics)
-    ]
-    found = spark.createDataFrame(
-        [(s["elasticNetParam"], s["regParam"], score) for s, score in table],
-        "elastic_net double, reg_param double, accuracy double",
-    )
-    rows.unpersist()
-    return found.orderBy(F.desc("accuracy"))
+    rows = split.row_split(bases.records(spark, folder), "record_id").where("split = 'train'")
+    found = search.grid_search(rows, RECORD_COLUMNS, "outcome", ["record_id"])
+    table = spark.createDataFrame(found.table, "elastic_net double, reg_param double, accuracy double")
+    return table.orderBy(F.desc("accuracy"), "elastic_net", "reg_param")
 
 
 @query
@@ -214,13 +206,16 @@ def ml_price_breakdown(spark, folder):
 
 @query
 def op_model_io(spark, folder):
-    """How far the scores of a saved and re-loaded model are from the original's."""
-    fit = model(spark, folder, "LogisticRegression")
+    """How far the scores and flags of a saved and re-loaded scorer are from the original's."""
+    fit = calibrated(spark, folder, "LogisticRegression")
+    whole = deploy.scorer(fit.model, fit.curve, [*NUMERIC_FEATURES, *STATIC_CATEGORIES], 0.3)
     path = fresh_path(spark, "model")
-    models.save_model(fit, path)
-    before = models.score(fit, bases.features(spark, folder), "before")
-    both = models.score(models.load_model(path), before, "after")
-    return both.select(*KEYS, (F.col("after") - F.col("before")).alias("difference"))
+    models.save_model(whole, path)
+    rows = bases.features(spark, folder)
+    before = whole.transform(rows).withColumnsRenamed({"risk_score": "before", "flagged": "flagged_before"}).drop("raw_score")
+    both = models.load_model(path).transform(before)
+    difference = F.abs(F.col("risk_score") - F.col("before")) + F.abs(F.col("flagged") - F.col("flagged_before"))
+    return both.select(*KEYS, difference.alias("difference"))
 
 
 # --- the chain: compare, choose, calibrate, tune, report --------------------------
