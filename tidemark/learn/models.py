@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.learn.isotonic import MonotoneCurve, fit_curve
 from tidemark.learn.prepare import preparation, without_working_columns
 from tidemark.schemas import LABEL, NUMERIC_FEATURES, STATIC_CATEGORIES
+from tidemark.session import exists
 
 SEED = 42
 
@@ -87,3 +88,18 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def keep_model(spark: SparkSession, path: str, make: Callable[[], PipelineModel]) -> PipelineModel:
+    """The model under ``path``, made and saved there if it isn't whole.
+
+    A model is whole once its mark is written; what a lost driver left halfway is
+    made again.
+    """
+    mark = f"{path}-whole"
+    if exists(spark, mark):
+        return load_model(path)
+    model = make()
+    save_model(model, path)
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(mark)
+    return model

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.rules import risk_tier
 from tidemark.operators import clean, panel, rfm, star
-from tidemark.session import staged, tune
+from tidemark.session import new_query, staged, tune
 from tidemark.sources import tables
 
 
@@ -39,7 +39,11 @@ def registrar(queries: dict[str, Query]) -> Callable[[Query], Query]:
     """A decorator that registers a query by name, with the output convention applied."""
 
     def query(make: Query) -> Query:
-        queries[make.__name__] = lambda spark, folder: publish(make(tune(spark), folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            new_query()
+            return publish(make(tune(spark), folder))
+
+        queries[make.__name__] = run
         return make
 
     return query

@@ -1,13 +1,16 @@
 """Model queries: splits, metrics, fits, calibration, scoring, explanations.
 
-Fitted models are kept per session and folder, so queries that score or explain
-do not fit again.  Models have their full sizes, the defaults of ``learn.models``.
+Fitted models are kept under the fingerprint of their input, so queries that score
+or explain do not fit again.  Models have their full sizes, the defaults of ``learn.models``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame
@@ -18,11 +21,12 @@ from tidemark.operators import panel, profile
 from tidemark.plans import bases
 from tidemark.plans.bases import Query, publish, registrar
 from tidemark.schemas import LABEL, NUMERIC_FEATURES, SNAPSHOT_FEATURES, SNAPSHOT_NUMERIC, STATIC_CATEGORIES
-from tidemark.session import fingerprint, fresh_path, measured, staged
+from tidemark.session import fingerprint, fresh_path, measured, shared_folder, staged
 
 QUERIES: dict[str, Query] = {}
 query = registrar(QUERIES)
 KEYS = ["company_id", "month_index"]
+FEATURES_VERSION = "1"  # to be raised when features or preparation change their meaning
 RECORD_COLUMNS = ["length", "spaces", "periods", "marks", "zeros", "toxic"]
 
 
@@ -54,17 +58,25 @@ def fitted(spark, folder, name: str, make: Callable):
 
 
 def model(spark, folder, name: str):
+    """A classifier fitted on the training part; kept in the shared folder under its
+    input and settings, so that a later session on the same files doesn't fit it again."""
     train = part(spark, folder, "train")
     makers = {
-        "LogisticRegression": lambda: models.fit(train, models.logistic(train.count()), weight="balanced"),
-        "RandomForest": lambda: models.fit(train, models.random_forest(), weight="balanced"),
-        "BoostedDepth5": lambda: models.fit(train, models.boosted(), weight="ratio"),
-        "BoostedDepth6": lambda: models.fit(train, models.boosted_deep(), weight="ratio"),
-        "Snapshot": lambda: models.fit(
-            train, models.boosted_snapshot(), SNAPSHOT_NUMERIC, weight="ratio"
-        ),
+        "LogisticRegression": lambda: (models.logistic(train.count()), NUMERIC_FEATURES, "balanced"),
+        "RandomForest": lambda: (models.random_forest(), NUMERIC_FEATURES, "balanced"),
+        "BoostedDepth5": lambda: (models.boosted(), NUMERIC_FEATURES, "ratio"),
+        "BoostedDepth6": lambda: (models.boosted_deep(), NUMERIC_FEATURES, "ratio"),
+        "Snapshot": lambda: (models.boosted_snapshot(), SNAPSHOT_NUMERIC, "ratio"),
     }
-    return fitted(spark, folder, name, makers[name])
+
+    def make():
+        classifier, numeric, weight = makers[name]()
+        settings = sorted(f"{p.name}={v}" for p, v in classifier.extractParamMap().items())
+        own = hashlib.md5("|".join([FEATURES_VERSION, *numeric, *STATIC_CATEGORIES, weight, *settings]).encode()).hexdigest()
+        path = f"{shared_folder(spark)}/models/{fingerprint(spark, folder)}-{name}-{own}"
+        return models.keep_model(spark, path, lambda: models.fit(train, classifier, numeric, weight=weight))
+
+    return fitted(spark, folder, name, make)
 
 
 def calibrated(spark, folder, name: str = "RandomForest") -> models.Calibrated:
@@ -224,10 +236,20 @@ CANDIDATES = ["LogisticRegression", "RandomForest", "BoostedDepth5", "BoostedDep
 
 
 def compared(spark, folder) -> DataFrame:
-    """All models on the validation part, best average precision first."""
-    return staged(
-        spark, folder, "compared", lambda: metrics.compare([_evaluated(spark, folder, name) for name in CANDIDATES])
-    )
+    """All models on the validation part, best average precision first.
+
+    They are fitted side by side: a boosted fit is a long row of small jobs, which
+    leaves most of a cluster idle.
+    """
+
+    def build() -> DataFrame:
+        _parts(spark, folder)
+        fit = inheritable_thread_target(spark)(lambda name: model(spark, folder, name))
+        with ThreadPoolExecutor(len(CANDIDATES)) as pool:
+            list(pool.map(fit, CANDIDATES))
+        return metrics.compare([_evaluated(spark, folder, name) for name in CANDIDATES])
+
+    return staged(spark, folder, "compared", build)
 
 
 def chosen(spark, folder) -> str:

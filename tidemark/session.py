@@ -66,20 +66,36 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_fingerprints: dict[tuple[str, str], str] = {}
+
+
+def new_query() -> None:
+    """Look at the input folders again: fingerprints are taken once per query."""
+    _fingerprints.clear()
+
+
 def fingerprint(spark: SparkSession, folder: str) -> str:
-    """Names, lengths and modification times of the files of a folder's tables.
+    """Names, lengths and modification times of all files below a folder.
 
     Any file system that Spark reads will do.  A staged table or a fitted model
     that was made from other files is not used again.
     """
-    jvm = spark.sparkContext._jvm
-    top = jvm.org.apache.hadoop.fs.Path(folder)
-    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    lines = []
-    for table in system.listStatus(top):
-        inside = system.listStatus(table.getPath()) if table.isDirectory() else [table]
-        lines += [f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in inside]
-    return hashlib.md5("\n".join(sorted(lines)).encode()).hexdigest()
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _fingerprints:
+        top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files, lines = system.listFiles(top, True), []
+        while files.hasNext():
+            f = files.next()
+            lines.append(f"{f.getPath().toUri().getPath()} {f.getLen()} {f.getModificationTime()}")
+        _fingerprints[key] = hashlib.md5("\n".join(sorted(lines)).encode()).hexdigest()
+    return _fingerprints[key]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there such a file or folder, in any file system that Spark reads?"""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 _staged: dict[tuple[str, str, str], str] = {}
