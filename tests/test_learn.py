@@ -203,6 +203,47 @@ def test_contributions_are_shapley_values(spark, training, forest):
             assert mine.loc[name, "contribution"] == pytest.approx(phi, abs=1e-9)
 
 
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda: models.logistic(800, "label", maxIter=50),
+        lambda: models.random_forest("label", numTrees=4, maxDepth=4),
+        lambda: models.boosted("label", maxIter=4, maxDepth=3),
+    ],
+)
+def test_explained_rows_add_up_and_rank(spark, training, make):
+    model = fit(training, make())
+    prepared = model.transform(training).repartition(3)
+    names = prepare.feature_names(prepared, NUMERIC)
+    mean = np.mean([r.v for r in prepared.select(vector_to_array("features").alias("v")).collect()], axis=0)
+    contributions = explain.Contributions(spark, model.stages[-1], mean)
+    rows, importance = explain.explained(prepared, contributions, names, ["company_id"], 2)
+    got = {r.company_id: r for r in rows.collect()}
+    assert len(got) == training.count()
+    x = {r.company_id: np.array(r.v) for r in prepared.select("company_id", vector_to_array("features").alias("v")).collect()}
+    sums = np.zeros(len(names))
+    for key, r in got.items():
+        assert r.base_value + r.contribution_sum == pytest.approx(r.model_score, abs=1e-9)
+        phi = contributions.of(x[key][None, :])[0]
+        sums += np.abs(phi)
+        for side, sign in ((r.top_risk_drivers, 1), (r.top_protective_factors, -1)):
+            want = sorted((-abs(v), n) for v, n in zip(phi, names) if v * sign > 0)[:2]
+            assert [d.feature for d in side] == [n for _, n in want]
+            assert [d.abs_shap for d in side] == pytest.approx([-v for v, _ in want])
+    found = {r.feature: r.mean_abs_contribution for r in importance.collect()}
+    assert found == pytest.approx(dict(zip(names, sums / len(got))))
+    if not hasattr(model.stages[-1], "coefficients"):
+        long = explain.tree_contributions(prepared, model.stages[-1], names, ["company_id"])
+        assert {r.feature: r.m for r in long.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("m")).collect()} == pytest.approx(found)
+    empty, none = explain.explained(prepared.limit(0), contributions, names, ["company_id"])
+    assert empty.count() == 0 and none.count() == 0
+
+
+def test_tops_break_ties_by_name():
+    up, down = explain.signed_tops(np.array([[0.5, -0.1, 0.5, 0.0, -0.1]]), ["b", "z", "a", "n", "y"], 5)
+    assert [d["feature"] for d in up[0]] == ["a", "b"] and [d["feature"] for d in down[0]] == ["y", "z"]
+
+
 def test_narrative_wording(spark):
     rows = [
         (1, "runway_months_latest", 0.5), (1, "mrr_slope_3m", 0.4), (1, "burn_rate_latest", 0.3), (1, "churn_rate_latest", 0.2),

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml import Pipeline
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -437,6 +438,37 @@ def fn_json_out(spark, folder):
     return explain.explanation_json(told, KEYS)
 
 
+def chain_explained(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Explanations of every feature row and the importance of every feature, by the chosen model."""
+    fit = model(spark, folder, chosen(spark, folder))
+    prepared = fit.transform(bases.features(spark, folder))
+    names = prepare.feature_names(prepared, NUMERIC_FEATURES)
+    mean = fit.transform(part(spark, folder, "train")).agg(Summarizer.mean(F.col("features")).alias("m")).first()["m"]
+    contributions = explain.Contributions(spark, fit.stages[-1], mean.toArray())
+    return fitted(spark, folder, "chain_explained", lambda: explain.explained(prepared, contributions, names, KEYS))
+
+
+@query
+def ml_chain_explained(spark, folder):
+    """Drivers, sentence and record of every row by the chosen model, and how far its
+    contributions are from adding up to the model's own score."""
+    rows, _ = chain_explained(spark, folder)
+    told = explain.narrative(rows, F.col("company_id").cast("string"))
+    gap = F.abs(F.col("base_value") + F.col("contribution_sum") - F.col("model_score"))
+    record = explain.explanation_json(told.drop("contribution_sum", "model_score"), KEYS)
+    listed = told.select(
+        *KEYS, _listed(F.col("top_risk_drivers")).alias("up"), _listed(F.col("top_protective_factors")).alias("down"), "narrative", gap.alias("gap")
+    )
+    return listed.join(record, KEYS)
+
+
+@query
+def ml_chain_importance(spark, folder):
+    """The 15 features with the largest mean absolute contribution to the chosen model."""
+    _, importance = chain_explained(spark, folder)
+    return importance.orderBy(F.desc("mean_abs_contribution"), "feature").limit(15)
+
+
 @query
 def ml_snapshot_schema(spark, folder):
     """The snapshot feature set has no history features and no missing values."""
