@@ -5,7 +5,7 @@ from __future__ import annotations
 from checks.sql import day, dbl, even, rnd, statement
 
 CHECKS: dict[str, str] = {}
-LAST = 2001
+LAST = "(SELECT max(year) FROM survey)"
 LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 RANK = "CASE level " + " ".join(f"WHEN '{v}' THEN {i + 1}" for i, v in enumerate(LEVELS)) + " END"
 
@@ -33,14 +33,14 @@ check("op_pivot_region", _gap("region", "Rural", "Urban"), "survey")
 check(
     "op_cell_ratio",
     f"""SELECT {even(f"(SELECT rate FROM totals WHERE year = {LAST} AND level = '1-URGENT') / (SELECT rate FROM totals WHERE year = {LAST} AND level = '5-LOW')", 1)} AS ratio""",
-    "totals",
+    "survey", "totals",
 )
 check(
     "op_latest_extremes",
     f"""SELECT h.level AS highest, h.rate AS highest_rate, l.level AS lowest, l.rate AS lowest_rate
         FROM (SELECT * FROM totals WHERE year = {LAST} ORDER BY rate DESC, level LIMIT 1) h,
              (SELECT * FROM totals WHERE year = {LAST} ORDER BY rate, level LIMIT 1) l""",
-    "totals",
+    "survey", "totals",
 )
 check("op_trend_by_level", "SELECT level, year, rate FROM totals", "totals")
 check(
@@ -57,7 +57,7 @@ check("op_complement_pct", f"SELECT year, level, region, gender, rate, {even('10
 check(
     "op_sort_category",
     f"SELECT level, rate, {RANK} AS category_rank FROM totals WHERE year = {LAST}",
-    "totals",
+    "survey", "totals",
 )
 
 # profiles

@@ -97,11 +97,15 @@ def keep_positive(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) > 0)
 
 
-def quantile_trim(
+def trim_edges(
     df: DataFrame, column: str, low: float = TRIM_QUANTILES[0], high: float = TRIM_QUANTILES[1]
 ) -> DataFrame:
-    """Keep rows whose value lies between two exact quantiles, ends included."""
-    edges = exact_quantiles(df, column, {"low": low, "high": high})
+    """One row (low, high): two exact quantiles."""
+    return exact_quantiles(df, column, {"low": low, "high": high})
+
+
+def between_edges(df: DataFrame, column: str, edges: DataFrame) -> DataFrame:
+    """Rows whose value lies between the edges, ends included."""
     bounds = edges.select(F.struct("low", "high").alias("edges")).scalar()
     value = F.col(column).cast("double")
     return (
@@ -111,6 +115,13 @@ def quantile_trim(
     )
 
 
+def quantile_trim(
+    df: DataFrame, column: str, low: float = TRIM_QUANTILES[0], high: float = TRIM_QUANTILES[1]
+) -> DataFrame:
+    """Keep rows whose value lies between two exact quantiles, ends included."""
+    return between_edges(df, column, trim_edges(df, column, low, high))
+
+
 def with_revenue(df: DataFrame) -> DataFrame:
     return df.withColumn("revenue", (F.col("price") * F.col("quantity_sold")).cast("decimal(14,2)"))
 
@@ -159,6 +170,11 @@ def derive_sales(df: DataFrame) -> DataFrame:
     return with_age_band(with_dispatch_delay(with_periods(with_revenue(df))))
 
 
+def usable_lines(lines: DataFrame) -> DataFrame:
+    """Lines with all critical columns and a positive price."""
+    return keep_positive(drop_null_critical(lines), "price")
+
+
 def clean_sales(raw: DataFrame) -> DataFrame:
     """Raw order lines -> analysis-ready lines.
 
@@ -168,5 +184,4 @@ def clean_sales(raw: DataFrame) -> DataFrame:
     """
     lines = measured(repair_text(dedupe_sales(raw)), "sales_lines")
     filled = fill_group_median(lines, "ram_gb", "product_type")
-    usable = keep_positive(drop_null_critical(filled), "price")
-    return derive_sales(quantile_trim(usable, "price"))
+    return derive_sales(quantile_trim(usable_lines(filled), "price"))

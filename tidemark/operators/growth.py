@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import month_start
@@ -59,52 +59,55 @@ def drop_alerts(growth: DataFrame, limit_pct: float = 10.0) -> DataFrame:
     return growth.where(change < -limit_pct)
 
 
+MONTHS = 64  # months in one mask
+
+
+def _month_number(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+def _active(offset: int) -> Column:
+    """Was the customer active ``offset`` months after the first one?"""
+    spot = F.col("_first") - F.col("_base") + offset
+    mask = F.get("_masks", F.floor(spot / MONTHS).cast("int"))
+    return F.coalesce(F.getbit(mask, (spot % MONTHS).cast("int")), F.lit(0)) == 1
+
+
 def customer_months(sales: DataFrame) -> DataFrame:
-    """Distinct months a customer bought in, with the customer's first month.
+    """One row per customer: the first month, and a bit for every month with a purchase.
 
-    Repeat purchases collapse on the map side, so a hot customer's window holds
-    at most one row per month.
+    The bits are or-ed together in a single aggregation, so a customer of any size
+    leaves each map task as one row.  There is one mask per 64 months of the table.
     """
-    active = (
-        sales.where(F.col("customer_name").isNotNull())
-        .select("customer_name", month_start(F.col("inward_date")).alias("active_month"))
-        .distinct()
-    )
-    return active.withColumn(
-        "cohort_month", F.min("active_month").over(Window.partitionBy("customer_name"))
+    bought = sales.where(F.col("customer_name").isNotNull() & F.col("inward_date").isNotNull()).select(
+        "customer_name", _month_number(F.col("inward_date")).alias("_month")
     )
+    low, high = bought.agg(F.min("_month"), F.max("_month")).first()
+    base, masks = low or 0, ((high or 0) - (low or 0)) // MONTHS + 1
+    place = F.col("_month") - base
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place % MONTHS)
+    parts = [F.coalesce(F.bit_or(F.when(F.floor(place / MONTHS) == k, bit)), F.lit(0).cast("long")) for k in range(masks)]
+    found = bought.groupBy("customer_name").agg(F.min("_month").alias("_first"), F.array(*parts).alias("_masks"))
+    first = F.make_date(F.floor(F.col("_first") / 12).cast("int"), F.col("_first") % 12 + 1, F.lit(1))
+    return found.select("customer_name", first.alias("cohort_month"), "_first", F.lit(base).alias("_base"), "_masks")
 
 
 def cohort_second_month(months: DataFrame) -> DataFrame:
     """Cohort size and how many of it bought again in the following month."""
-    first = F.col("active_month") == F.col("cohort_month")
-    second = F.col("active_month") == F.add_months("cohort_month", 1)
     return (
         months.groupBy("cohort_month")
-        .agg(
-            F.count_if(first).alias("cohort_size"),
-            F.count_if(second).alias("retained_month_2"),
-        )
+        .agg(F.count(F.lit(1)).alias("cohort_size"), F.count_if(_active(1)).alias("retained_month_2"))
         .orderBy("cohort_month")
     )
 
 
 def cohort_curve(months: DataFrame, last: int = 12) -> DataFrame:
-    """Share of each cohort active 0..``last`` months after its first month."""
-    offset = (
-        (F.year("active_month") - F.year("cohort_month")) * 12
-        + F.month("active_month")
-        - F.month("cohort_month")
-    )
-    counted = (
-        months.withColumn("month_offset", offset)
-        .where(F.col("month_offset") <= last)
-        .groupBy("cohort_month", "month_offset")
-        .agg(F.count(F.lit(1)).alias("active"))
+    """Share of each cohort active 0..``last`` months after its first month; offsets without anyone are left out."""
+    counted = months.groupBy("cohort_month").agg(
+        F.count(F.lit(1)).alias("cohort_size"), F.array(*[F.count_if(_active(k)) for k in range(last + 1)]).alias("_active")
     )
-    size = F.max(F.when(F.col("month_offset") == 0, F.col("active"))).over(
-        Window.partitionBy("cohort_month")
-    )
-    return counted.withColumn("cohort_size", size).withColumn(
-        "retention", ratio_or_null(F.col("active"), F.col("cohort_size"))
+    return (
+        counted.select("cohort_month", "cohort_size", F.posexplode("_active").alias("month_offset", "active"))
+        .where(F.col("active") > 0)
+        .withColumn("retention", ratio_or_null(F.col("active"), F.col("cohort_size")))
     )

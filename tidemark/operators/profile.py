@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio_or_null
 from tidemark.operators.ordered import exact_quantiles
+from tidemark.session import measured
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -39,17 +39,28 @@ def null_counts(df: DataFrame) -> DataFrame:
     return row.unpivot([], list(df.columns), "column", "nulls").where("nulls > 0")
 
 
-def stage_audit(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows after each step and the number the step removed."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows_after")).select(F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows_after")
-        for i, (name, df) in enumerate(stages)
-    ]
-    in_order = Window.orderBy("step")  # one row per step
-    table = reduce(DataFrame.unionByName, counts)
-    return table.withColumn(
-        "removed", F.coalesce(F.lag("rows_after").over(in_order) - F.col("rows_after"), F.lit(0))
-    )
+class Audit:
+    """Row counts of the steps of a job, taken while the job runs (no step is run again to count it).
+
+    A task that is run twice because an executor was lost may be counted twice.
+    """
+
+    def __init__(self):
+        self.steps: list[tuple[str, Observation]] = []
+
+    def step(self, name: str, df: DataFrame) -> DataFrame:
+        """``df``, counted as it passes; it has to be part of one action."""
+        seen = Observation()
+        self.steps.append((name, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def table(self, last: DataFrame) -> DataFrame:
+        """Rows after each step and the number the step removed, once ``last`` has run."""
+        last.write.format("noop").mode("overwrite").save()
+        counts = [(name, seen.get["rows"]) for name, seen in self.steps]
+        before = [counts[0][1] if counts else 0, *[n for _, n in counts]]
+        rows = [(i, name, n, before[i] - n) for i, (name, n) in enumerate(counts)]
+        return last.sparkSession.createDataFrame(rows, "step int, stage string, rows_after long, removed long")
 
 
 def shape_range(sales: DataFrame) -> DataFrame:
@@ -82,19 +93,22 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Quartiles, the 1.5-IQR whiskers that lie on data, and outliers, per group."""
+    """Quartiles, the 1.5-IQR whiskers that lie on data, and outliers, per group.
+
+    The whiskers are conditional extremes against the quartiles, one row per group,
+    so the values themselves aren't shuffled.
+    """
     known = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    counts = known.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
-    quartiles = exact_quantiles(known, value, QUARTILES, [group])
+    quartiles = measured(exact_quantiles(known, value, QUARTILES, [group]), "quartiles")
     reach = 1.5 * (F.col("p75") - F.col("p25"))
     inside = (F.col(value) >= F.col("p25") - reach) & (F.col(value) <= F.col("p75") + reach)
     return (
-        counts.join(quartiles, group)
+        known.select(group, value).join(quartiles, group)
         .groupBy(group, "p25", "p50", "p75")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),
             F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
 
@@ -127,15 +141,6 @@ def schema_check(df: DataFrame, required: Sequence[str]) -> DataFrame:
     )
 
 
-def moved_rows(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows that differ between two runs of the same features, from either side.
-
-    The second run saw a change that these rows must not depend on, so there
-    must be none.
-    """
-    return before.exceptAll(after).unionByName(after.exceptAll(before))
-
-
 def topk_signed(
     contributions: DataFrame, row_keys: Sequence[str], value: str, n: int, ties: str = "feature"
 ) -> DataFrame:

@@ -92,6 +92,11 @@ def extremes(df: DataFrame, order: Sequence[str] = LEVEL_ORDER) -> DataFrame:
     )
 
 
+def latest_year(df: DataFrame) -> DataFrame:
+    """The rows of the last year that the table has."""
+    return df.where(F.col("year") == df.agg(F.max("year")).scalar())
+
+
 def only_totals(df: DataFrame) -> DataFrame:
     return df.where((F.col("region") == "Total") & (F.col("gender") == "Person"))
 

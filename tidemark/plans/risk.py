@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import clip, guarded_ratio
 from tidemark.functions.rules import outcome_label, risk_tier
-from tidemark.operators import ordered, panel, profile, risk_reports, star
+from tidemark.operators import leakage, ordered, panel, profile, risk_reports, star
 from tidemark.plans import bases
 from tidemark.plans.bases import Query, registrar
-from tidemark.schemas import ENGINEERED, FEATURES, LABEL
-from tidemark.session import measured
+from tidemark.schemas import ENGINEERED, FEATURES, LABEL, METRICS
 
 QUERIES: dict[str, Query] = {}
 query = registrar(QUERIES)
@@ -301,22 +300,9 @@ def op_schema_check(spark, folder):
 
 @query
 def op_leakage_check(spark, folder):
-    """Features of the whole panel before and after the last month of one entity
-    is changed.  No row of another entity and no earlier row of this one may
-    move, in either direction.  The entity is the first with the longest history."""
-    rows = bases.entity_panel(spark, folder)
-    last = rows.agg(
-        F.max(F.struct("month_index", (-F.col("company_id")).alias("minus_id"))).alias("spot")
-    ).select("spot").scalar()
-    marked = rows.withColumn("_spot", last).withColumn(
-        "_changed", (F.col("company_id") == -F.col("_spot.minus_id")) & (F.col("month_index") == F.col("_spot.month_index"))
+    """Features of the whole panel before and after all metrics behind every entity's
+    cut are replaced: no row up to a cut may move."""
+    found = leakage.leakage_check(
+        bases.entity_panel(spark, folder), lambda rows: panel.window_features(rows, "month_index"), ENGINEERED, METRICS, ["founder_conflict_flag"]
     )
-    changed = marked.withColumn("mrr", F.when(F.col("_changed"), F.lit(999999999.0)).otherwise(F.col("mrr")))
-    runs = [
-        measured(
-            panel.window_features(part, "month_index").where(~F.col("_changed")).select(*KEYS, *ENGINEERED), "leakage"
-        )
-        for part in (marked, changed)
-    ]
-    moved = profile.moved_rows(*runs).agg(F.count(F.lit(1)).alias("moved_rows"))
-    return runs[0].agg(F.count(F.lit(1)).alias("compared_rows")).withColumn("moved_rows", moved.scalar())
+    return found.select("compared_rows", "moved_rows")

@@ -11,15 +11,18 @@ from tidemark.session import measured
 
 QUERIES: dict[str, Query] = {}
 query = registrar(QUERIES)
-LAST_YEAR = 2001
 
 
 def _all_rows(spark, folder):
     return survey.with_totals(bases.survey(spark, folder))
 
 
+def _latest(spark, folder):
+    return survey.latest_year(bases.survey(spark, folder))
+
+
 def _latest_totals(spark, folder):
-    return survey.only_totals(_all_rows(spark, folder)).where(F.col("year") == LAST_YEAR)
+    return survey.latest_year(survey.only_totals(_all_rows(spark, folder)))
 
 
 @query
@@ -39,12 +42,12 @@ def op_pivot_year(spark, folder):
 
 @query
 def op_pivot_gender(spark, folder):
-    return survey.pivot_gap(bases.survey(spark, folder).where(F.col("year") == LAST_YEAR), "gender", ("Male", "Female"))
+    return survey.pivot_gap(_latest(spark, folder), "gender", ("Male", "Female"))
 
 
 @query
 def op_pivot_region(spark, folder):
-    return survey.pivot_gap(bases.survey(spark, folder).where(F.col("year") == LAST_YEAR), "region", ("Rural", "Urban"))
+    return survey.pivot_gap(_latest(spark, folder), "region", ("Rural", "Urban"))
 
 
 @query
@@ -108,20 +111,15 @@ def op_null_counts(spark, folder):
 
 @query
 def op_stage_audit(spark, folder):
-    """Rows left after each cleaning step."""
-    raw = flat(spark, folder)
-    lines = measured(clean.repair_text(clean.dedupe_sales(raw)), "audit_lines")
-    known = clean.drop_null_critical(lines)
-    positive = clean.keep_positive(known, "price")
-    return profile.stage_audit(
-        [
-            ("raw", raw),
-            ("deduplicated", lines),
-            ("critical columns known", known),
-            ("positive price", positive),
-            ("price trimmed", clean.quantile_trim(positive, "price")),
-        ]
-    )
+    """Rows left after each cleaning step, counted while the cleaning runs."""
+    audit = profile.Audit()
+    raw = audit.step("raw", flat(spark, folder))
+    lines = measured(audit.step("deduplicated", clean.repair_text(clean.dedupe_sales(raw))), "audit_lines")
+    edges = measured(clean.trim_edges(clean.usable_lines(lines), "price"), "edges")
+    known = audit.step("critical columns known", clean.drop_null_critical(lines))
+    positive = audit.step("positive price", clean.keep_positive(known, "price"))
+    trimmed = audit.step("price trimmed", clean.between_edges(positive, "price", edges))
+    return audit.table(trimmed)
 
 
 @query
