@@ -213,6 +213,12 @@ check(
     f"""SELECT upper(event_type[1]) || event_type[2:] AS event_type, count(*) AS n, {dbl('sum(CAST(value AS DECIMAL(14,2)))')} AS total
         FROM events WHERE value > 0 GROUP BY 1""",
 )
+check(
+    "st_sales_refresh",
+    f"""SELECT order_id, customer_name, product_type, {dbl('ram_gb')} AS ram_gb, {dbl('price')} AS price, {dbl('revenue')} AS revenue,
+               order_quarter, dispatch_delay_days, age_band FROM clean""",
+    "clean",
+)
 check("st_dedupe", "SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
 check(
     "st_window_revenue",

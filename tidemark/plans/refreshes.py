@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.plans import bases, learning
 from tidemark.plans.bases import Query, registrar
 from tidemark.learn import models
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, measured
 from tidemark.sources import tables
-from tidemark.streaming import refresh
+from tidemark.streaming import refresh, sales
 
 QUERIES: dict[str, Query] = {}
 query = registrar(QUERIES)
@@ -37,6 +37,21 @@ def st_incremental_refresh(spark, folder):
     )
 
 
+@query
+def st_sales_refresh(spark, folder):
+    """Raw sales land in three parts, the lines of one order id and some repeated lines
+    spread over them; the clean table after the third refresh."""
+    raw = bases.flat(spark, folder)
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
+    landed = measured(raw.withColumn("_part", part).unionByName(raw.where("order_id % 10 = 0").withColumn("_part", (part + 1) % 3)), "sales_landing")
+    source, sink, mark = (fresh_path(spark, n) for n in ("sales_in", "sales_lines", "mark"))
+    for k in range(3):
+        landed.where(F.col("_part") == k).drop("_part").write.mode("append").parquet(source)
+        sales.sales_refresh(refresh.landing(spark, source, raw.schema), sink, mark)
+    current = sales.current_sales(spark, sink, raw.schema)
+    return current.select("order_id", "customer_name", "product_type", "ram_gb", "price", "revenue", "order_quarter", "dispatch_delay_days", "age_band")
+
+
 @query
 def st_dedupe(spark, folder):
     sink, mark = fresh_path(spark, "events_once"), fresh_path(spark, "mark")
