@@ -67,7 +67,8 @@ places AS (SELECT doc_id, source, lines, unnest(range(len(lines))) AS place FROM
 lined AS (SELECT doc_id, coalesce(source, chr(0)) AS site, place, lines[place + 1] AS line FROM places),
 spread AS (
   SELECT trim(line) AS line, count(DISTINCT site) AS sites, min(struct_pack(d := doc_id, p := place)) AS first
-  FROM lined WHERE length(trim(line)) >= {lines.MIN_CHARS} GROUP BY 1 HAVING count(DISTINCT site) >= {lines.MIN_SITES}
+  FROM lined WHERE length(trim(line)) >= {lines.MIN_CHARS} GROUP BY 1
+  HAVING count(DISTINCT site) >= (SELECT least({lines.MIN_SITES}, greatest(2, (count(DISTINCT coalesce(source, chr(0))) + 1) // 2)) FROM documents)
 ),
 marked AS (
   SELECT l.doc_id, l.place, l.line,
