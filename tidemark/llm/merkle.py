@@ -266,8 +266,10 @@ def manifest(
     the digest of nothing as its proof.  An empty table gives an empty result.
     """
     kind = leaves.schema[key].dataType
-    plain = leaves.select(
-        F.col(group).alias("_group"), F.col(key).alias("_key"), F.col(digest).alias("digest"), F.col(replacement).alias("replacement")
+    # written once, as the cut points of the ranges look at the leaves too
+    plain = stored(
+        leaves.select(F.col(group).alias("_group"), F.col(key).alias("_key"), F.col(digest).alias("digest"), F.col(replacement).alias("replacement")),
+        "leaves",
     )
     placed = numbered(plain, "_group", ["_key", "digest", "replacement"])
     nodes = placed.select("_group", "_pos", "_count", F.struct("digest", F.col("_key").alias("key"), "replacement").alias("_row"))
