@@ -42,6 +42,35 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<div class="x""><p>kept text</p></div>', "kept text"),
+        ("<p title=it's>kept text</p><p>more 'of' it", "kept text\nmore 'of' it"),
+        ('<p data-a="1>2">kept</p>', "kept"),
+        ("<p data-a=b=\"c>kept</p>", "kept"),
+        ("<p a= 'x>y' b>kept</p>", "kept"),
+        ('<a href = "x">kept</a> "as it is"', 'kept "as it is"'),
+        ('<p class="never closed>gone', ""),
+        ("<b>bold<div>block</b> after</div>tail", "bold\nblock after\ntail"),
+        ("<i><li>one</i><li>two</ul>three", "one\ntwothree"),
+    ],
+)
+def test_tags_end_where_a_browser_ends_them(page, text):
+    assert html.main_text(page) == text
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert html.main_text("<div>" * 200_000 + "word") == "word"
+    assert html.main_text("<b>" * 200_000 + "word" + "</b>" * 200_000) == "word"
+    assert html.main_text("<p>one" + "<iframe/>" * 200_000 + "two") == "onetwo"
+    assert html.main_text("<div><b>" * 100_000 + "word" + "</b></div>" * 100_000) == "word"
+    assert time.perf_counter() - start < 60
+
+
 BODY = "".join(f"<p>{'Some words of the body, one line of it. ' * 8}</p>" for _ in range(6))
 AD = "<div class=ad>buy</div>"
 

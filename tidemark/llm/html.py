@@ -54,7 +54,8 @@ _HINT = re.compile(
 _KEEP = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main)(?=$|[\s_-])", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    # a quote counts only right behind an equals sign; anywhere else the tag ends at the first >
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s\"'>][^\s>]*)?)*)(?:>|\Z)",
     re.S,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
@@ -88,9 +89,11 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
-    stack: list[str] = []
-    article = skipped = linked = links = 0
-    skip_at: list[int] = []
+    stack: list[str] = []                # open elements; an inline one that ended under open blocks is ""
+    opened: dict[str, list[int]] = {}    # where in the stack each tag is open
+    blocks: list[int] = []               # where in the stack the blocks are
+    skip_at: int | None = None           # where the furniture starts that is being stripped
+    article = linked = links = 0
     position, end = 0, len(html)
 
     def flush() -> None:
@@ -102,21 +105,26 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         linked = 0
 
     def leave(upto: int) -> None:
-        nonlocal article, links
-        while len(stack) > upto:
+        nonlocal article, links, skip_at
+        while len(stack) > upto or stack and not stack[-1]:
             tag = stack.pop()
+            if not tag:
+                continue
+            opened[tag].pop()
+            if blocks and blocks[-1] == len(stack):
+                blocks.pop()
             if tag in ARTICLE:
                 article -= 1
                 lines.extend([("", 0, False)] * (0 if article else WINDOW))
             links -= tag == "a"
-            if skip_at and skip_at[-1] == len(stack):
-                skip_at.pop()
+            if skip_at == len(stack):
+                skip_at = None
                 lines.extend([("", 0, article > 0)] * WINDOW)
 
     while position < end:
         found = _TOKEN.search(html, position)
         text_end = found.start() if found else end
-        if text_end > position and not skip_at:
+        if text_end > position and skip_at is None:
             text = html[position:text_end]
             parts.append(text)
             if links:
@@ -129,45 +137,45 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             continue
         tag = tag.lower()
         if found[1]:
-            if tag in ("p", "br") and tag not in stack:
-                flush()
-                continue
-            if tag not in stack:
+            if not opened.get(tag):
+                if tag in ("p", "br"):
+                    flush()
                 continue
             if tag not in INLINE:
                 flush()
-            depth = len(stack) - 1 - stack[::-1].index(tag)
+            depth = opened[tag][-1]
             # an inline end tag doesn't close the block around it
-            if tag in INLINE and any(t not in INLINE for t in stack[depth + 1 :]):
-                del stack[depth]
+            if tag in INLINE and blocks and blocks[-1] > depth:
+                stack[depth] = ""
+                opened[tag].pop()
                 links -= tag == "a"
-                skip_at[:] = [k - (k > depth) for k in skip_at if k != depth]
+                if skip_at == depth:
+                    skip_at = None
             else:
                 leave(depth)
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, position)
             if not found[3].rstrip().endswith("/"):
+                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, position)
                 position = close.end() if close else end
             continue
         if tag not in INLINE:
             flush()
         if tag in VOID:
             continue
-        if tag in CLOSES_P and "p" in stack:
-            depth = len(stack) - 1 - stack[::-1].index("p")
-            if all(t in INLINE for t in stack[depth + 1 :]):
-                leave(depth)
-        if tag == "a" and "a" in stack:
-            depth = len(stack) - 1 - stack[::-1].index("a")
-            if all(t in INLINE for t in stack[depth + 1 :]):
-                leave(depth)
+        if tag in CLOSES_P and opened.get("p") and blocks[-1] == opened["p"][-1]:
+            leave(opened["p"][-1])
+        if tag == "a" and opened.get("a") and (not blocks or blocks[-1] < opened["a"][-1]):
+            leave(opened["a"][-1])
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1] == tag:
             leave(len(stack) - 1)
-        if not skip_at and _is_furniture(tag, found[3], article > 0):
+        if skip_at is None and _is_furniture(tag, found[3], article > 0):
             flush()
             lines.extend([("", 0, article > 0)] * WINDOW)
-            skip_at.append(len(stack))
+            skip_at = len(stack)
+        opened.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            blocks.append(len(stack))
         stack.append(tag)
         if tag in ARTICLE:
             lines.extend([("", 0, False)] * (0 if article else WINDOW))
