@@ -152,6 +152,16 @@ def test_scenarios(training):
     assert scenarios.direction_violations(rows, "x1", -3.0, 3.0, scorer).count() == 20
 
 
+def test_levers_stay_in_their_ranges(spark):
+    rows = spark.createDataFrame([(1, 50.0, -1.0), (2, 3.0, None)], "company_id int, a double, b double")
+    made = scenarios.with_scenarios(rows, {"same": {}, "far": {"a": 99.0}, "near": {"b": 0.5}}, {"a": (0.0, 36.0), "b": (0.0, 1.0)})
+    got = {(r.company_id, r.scenario): (r.a, r.b) for r in made.collect()}
+    assert got == {
+        (1, "same"): (36.0, 0.0), (1, "far"): (36.0, 0.0), (1, "near"): (36.0, 0.5),
+        (2, "same"): (3.0, None), (2, "far"): (36.0, None), (2, "near"): (3.0, 0.5),
+    }
+
+
 def tree_value(nodes, spot, row, known):
     """Expected leaf value when only the features in ``known`` are given."""
     node = nodes[spot]

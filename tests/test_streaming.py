@@ -76,6 +76,18 @@ def test_late_events_count_in_their_window(spark, tmp_path):
     assert got == {1: (6.5, 3), 20: (2.5, 1), 21: (1.0, 1)}
 
 
+def test_sums_are_compacted_and_nothing_is_lost(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "COMPACT", 2)
+    source, sink, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for k in range(6):
+        land(spark, source, [(k, at(1 + k % 2, k), float(k)), (k, at(9), 1.0)])
+        refresh.keep_current(refresh.windowed_totals(refresh.landing(spark, source, schema(spark)), "ts", "value"), sink, mark)
+    totals = lambda: {r.bucket_start.day: (float(r.revenue), r.events) for r in refresh.current_totals(spark, sink).collect()}
+    want = {1: (6.0, 3), 2: (9.0, 3), 9: (6.0, 6)}
+    assert totals() == want
+    assert refresh.drop_compacted(spark, sink) == 4 and totals() == want
+
+
 def test_alerts_follow_the_running_totals(spark, tmp_path):
     source, fact, alerts, mark = (str(tmp_path / n) for n in ("in", "fact", "alerts", "mark"))
     lines = "inward_date date, revenue double"

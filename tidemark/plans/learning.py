@@ -360,8 +360,9 @@ def ml_what_if(spark, folder):
         "more runway": {"runway_months_latest": 24.0, "consecutive_low_runway_months": 0.0},
         "less churn": {"churn_rate_latest": 0.02},
         "falling revenue": {"mrr_slope_6m": -50.0, "ltv_cac_ratio_latest": 0.5},
+        "people leave": {"attrition_rate_latest": 0.4, "glassdoor_rating_latest": 1.5},
     }
-    return scenarios.what_if(latest, options, calibrated(spark, folder).score)
+    return scenarios.what_if(latest, options, calibrated(spark, folder).score, scenarios.LEVERS)
 
 
 @query

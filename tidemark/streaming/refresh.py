@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.clean import keep_first
 from tidemark.operators.growth import drop_alerts, month_growth, monthly_revenue
+from tidemark.session import measured
 
 
 def landing(
@@ -60,22 +61,27 @@ def deduped(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: s
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
-def append_new(stream: DataFrame, sink: str, checkpoint: str, keys: Sequence[str]) -> None:
+def append_new(stream: DataFrame, sink: str, checkpoint: str, keys: Sequence[str], buckets: int = 64) -> None:
     """Append the rows whose key no earlier batch has brought, however late they come.
 
     Of several rows with one key in a batch the first in the order of all columns
     stays.  Keys are looked up in the sink itself, so nothing is kept as state and
     nothing is forgotten; a batch that is run again sees the batches before it only.
+    The sink is kept by a hash of the keys, and only the hashes that a batch has are
+    read again.
     """
 
     def append(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
-        spark.createDataFrame([], batch.schema).write.mode("ignore").parquet(f"{sink}/batch=-1")
-        known = spark.read.schema(schema).option("basePath", sink).parquet(sink).where(F.col("batch") < number).drop("batch")
-        first = keep_first(batch, keys, list(batch.columns))
-        fresh = first.join(known.select(*keys).distinct(), list(keys), "left_anti")
-        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        placed = batch.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        first = measured(keep_first(placed, [*keys, "bucket"], list(batch.columns)), "batch")
+        touched = [r["bucket"] for r in first.select("bucket").distinct().collect()]  # at most ``buckets``
+        schema = T.StructType([*placed.schema.fields, T.StructField("batch", T.LongType())])
+        spark.createDataFrame([], batch.schema).write.mode("ignore").parquet(f"{sink}/batch=-1/bucket=-1")
+        saved = spark.read.schema(schema).option("basePath", sink).parquet(sink)
+        known = saved.where((F.col("batch") < number) & F.col("bucket").isin(touched)).select(*keys)
+        fresh = first.join(known, list(keys), "left_anti")
+        fresh.select(*batch.columns, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{sink}/batch={number}")
 
     query = (
         stream.writeStream.foreachBatch(append)
@@ -111,17 +117,67 @@ def windowed_totals(stream: DataFrame, event_time: str, amount: str, width: str
     )
 
 
+COMPACT = 16  # every so many batches the sums so far become one
+
+
+def _since_compaction(spark: SparkSession, sink: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """The sums that add up to the totals, of all batches or of those before one: the last compacted batch and what follows it."""
+    saved = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(sink)
+    if before is not None:
+        saved = saved.where(F.col("batch") < before)
+    last = saved.agg(F.max("batch")).first()[0]
+    return saved.where(F.col("batch") >= (last or 0) // COMPACT * COMPACT).drop("batch")
+
+
 def keep_current(totals: DataFrame, sink: str, checkpoint: str, key: str = "bucket_start") -> None:
-    """Every batch writes its own sums of the buckets it touches."""
+    """Every batch writes its own sums of the buckets it touches.
+
+    Each ``COMPACT``-th batch writes the sums of all batches up to it, so a reader never
+    needs more than ``COMPACT`` of them; ``drop_compacted`` deletes the others.
+    """
     rest = [c for c in totals.columns if c != key]
-    write_batches(totals, sink, checkpoint, lambda batch: batch.groupBy(key).agg(*[F.sum(c).alias(c) for c in rest]))
+    kind = totals.schema
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key).agg(*[F.sum(c).cast(kind[c].dataType).alias(c) for c in rest])
+
+    def keep(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        own = summed(batch).select(*totals.columns)
+        if number and number % COMPACT == 0:
+            own = summed(own.unionByName(_since_compaction(spark, sink, kind, number))).select(*totals.columns)
+        own.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+    query = (
+        totals.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
 
 
 def current_totals(spark: SparkSession, sink: str, key: str = "bucket_start") -> DataFrame:
     """The sums of all batches for every bucket."""
-    saved = spark.read.parquet(sink)
-    rest = [c for c in saved.columns if c not in (key, "batch")]
-    return saved.groupBy(key).agg(*[F.sum(c).cast(saved.schema[c].dataType).alias(c) for c in rest])
+    kind = T.StructType([f for f in spark.read.parquet(sink).schema if f.name != "batch"])
+    rest = [f for f in kind if f.name != key]
+    saved = _since_compaction(spark, sink, kind)
+    return saved.groupBy(key).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in rest])
+
+
+def drop_compacted(spark: SparkSession, sink: str) -> int:
+    """Delete the batches that a later compacted one holds already; how many there were.
+
+    The batches since the compaction before stay, so that the last one can be run again.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(sink).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {int(s.getPath().getName().split("=")[1]): s.getPath() for s in system.globStatus(path(f"{sink}/batch=*")) or []}
+    first = (max(found, default=0) - 1) // COMPACT * COMPACT
+    gone = [p for n, p in found.items() if n < first]
+    for p in gone:
+        system.delete(p, True)
+    return len(gone)
 
 
 def batch_score(stream: DataFrame, sink: str, checkpoint: str, scorer: Callable[[DataFrame], DataFrame]) -> None:
