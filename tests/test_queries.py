@@ -16,6 +16,7 @@ ROWS_ONLY = {
     "ml_logistic", "ml_random_forest", "ml_boosted_a", "ml_boosted_b",
     "ml_snapshot_model", "ml_model_compare", "ml_calibrate", "ml_grid_search", "ml_ridge_price", "ml_score_tier",
     "ml_portfolio", "ml_what_if", "ml_monotonic_check", "ml_contributions", "fn_json_out", "ml_chain_choice", "ml_chain_threshold", "ml_chain_report", "ml_chain_cohorts",
+    "ml_chain_explained", "ml_chain_importance",
 }
 SAMPLE = [
     "q1_monthly", "q2_brand", "q3_region_share", "q3b_region_share_subq", "q4_top_customers", "q5_segment_share", "q6_mom", "q7_delay",

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.rules import risk_tier
 from tidemark.operators import clean, panel, rfm, star
-from tidemark.session import new_query, staged, tune
+from tidemark.session import one_query, staged, tune
 from tidemark.sources import tables
 
 
@@ -40,8 +40,8 @@ def registrar(queries: dict[str, Query]) -> Callable[[Query], Query]:
 
     def query(make: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            new_query()
-            return publish(make(tune(spark), folder))
+            with one_query():
+                return publish(make(tune(spark), folder))
 
         queries[make.__name__] = run
         return make

@@ -11,7 +11,8 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,12 +67,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-_fingerprints: dict[tuple[str, str], str] = {}
+_fingerprints: dict[tuple[str, str], str] | None = None
 
 
-def new_query() -> None:
-    """Look at the input folders again: fingerprints are taken once per query."""
-    _fingerprints.clear()
+@contextmanager
+def one_query() -> Iterator[None]:
+    """Inside, the fingerprint of a folder is taken once; elsewhere each time it is asked for."""
+    global _fingerprints
+    _fingerprints = {}
+    try:
+        yield
+    finally:
+        _fingerprints = None
 
 
 def fingerprint(spark: SparkSession, folder: str) -> str:
@@ -80,16 +87,17 @@ def fingerprint(spark: SparkSession, folder: str) -> str:
     Any file system that Spark reads will do.  A staged table or a fitted model
     that was made from other files is not used again.
     """
+    known = {} if _fingerprints is None else _fingerprints
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _fingerprints:
+    if key not in known:
         top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         files, lines = system.listFiles(top, True), []
         while files.hasNext():
             f = files.next()
             lines.append(f"{f.getPath().toUri().getPath()} {f.getLen()} {f.getModificationTime()}")
-        _fingerprints[key] = hashlib.md5("\n".join(sorted(lines)).encode()).hexdigest()
-    return _fingerprints[key]
+        known[key] = hashlib.md5("\n".join(sorted(lines)).encode()).hexdigest()
+    return known[key]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
