@@ -148,7 +148,7 @@ def test_join_equals_brute_force(spark, monkeypatch, width, num, den, paired, sm
     assert got == plain_components(rows, width, num, den)
 
 
-@pytest.mark.parametrize("small, block, tokens, num", [(48, 512, 1 << 18, 80), (3, 5, 1 << 18, 80), (3, 512, 700, 90)])
+@pytest.mark.parametrize("small, block, tokens, num", [(48, 1024, 1 << 19, 80), (3, 5, 1 << 19, 80), (1, 3, 1 << 19, 90), (2, 1024, 700, 90)])
 def test_numbers_of_links_equal_brute_force(spark, monkeypatch, small, block, tokens, num):
     monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "BLOCK", block)
@@ -166,6 +166,44 @@ def test_numbers_of_links_equal_brute_force(spark, monkeypatch, small, block, to
     assert {r.doc_id: r.n_links for r in jaccard.join(table, width=3, num=num, den=100).collect()} == want
 
 
+def test_large_families_of_texts_that_stay_apart(spark, monkeypatch):
+    """Copies around the threshold: most pairs share every list, and only some of them are linked."""
+    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    monkeypatch.setattr(jaccard, "SMALL", 6)
+    rng = random.Random(23)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for _ in range(260):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"c{rng.randrange(400)}"
+        texts.append(" ".join(words[: rng.choice((120, 120, 112, 100))]))
+    rows = list(enumerate(texts))
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), width=3, num=90, den=100).collect()
+    sets = [plain_set(t, 3) for t in texts]
+    want = [sum(1 for j, y in enumerate(sets) if i != j and 100 * len(x & y) >= 90 * len(x | y)) for i, x in enumerate(sets)]
+    assert {r.doc_id: r.n_links for r in got} == dict(enumerate(want)) and len(set(want)) > 9
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == plain_components(rows, 3, 90, 100)
+    with pytest.raises(ValueError):
+        jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), num=50, den=100)
+
+
+def test_places_reached_over_links():
+    rng = np.random.default_rng(5)
+    for own in (True, False):
+        for _ in range(60):
+            height, width = rng.integers(1, 14, 2)
+            linked = rng.random((height, height if own else width)) < rng.random() * 0.3
+            linked = linked | linked.T if own else linked
+            size = height if own else height + width
+            root = list(range(size))
+            pairs = [(i, j if own else height + j) for i, j in zip(*np.nonzero(linked), strict=True)]
+            for _ in range(size):
+                for i, j in pairs:
+                    root[i] = root[j] = min(root[i], root[j])
+            assert jaccard.reached(linked, own).tolist() == root
+
+
 def test_signatures_share_an_entry_for_every_link():
     rng = random.Random(4)
     for _ in range(300):
