@@ -204,6 +204,24 @@ def test_places_reached_over_links():
             assert jaccard.reached(linked, own).tolist() == root
 
 
+def test_large_sets_meet_as_often_as_their_extension_promises():
+    rng = random.Random(6)
+    for _ in range(200):
+        n = rng.randint(60, 400)
+        one = set(rng.sample(range(10_000), n))
+        two = set(one)
+        for _ in range(rng.randint(0, n // 12)):
+            two.discard(rng.choice(sorted(two)))
+            two.add(rng.randrange(10_000))
+        for t in rng.sample(range(10_000), rng.randint(0, n // 30)):
+            two.add(t)
+        frequent = np.array(sorted(rng.sample(range(10_000), rng.choice((0, 2000, 9000)))), np.uint64)
+        order = np.array(rng.sample(range(len(frequent)), len(frequent)))
+        if 100 * len(one & two) >= 80 * len(one | two):
+            entries = [set(jaccard.signatures(np.array(sorted(s), np.uint64), frequent, order, 80, 100, 50).tolist()) for s in (one, two)]
+            assert len(entries[0] & entries[1]) >= 2 + min(len(one), len(two)) // jaccard.STRIDE
+
+
 def test_signatures_share_an_entry_for_every_link():
     rng = random.Random(4)
     for _ in range(300):
