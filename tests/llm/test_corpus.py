@@ -348,6 +348,27 @@ def test_seats_go_to_the_highest_quotients(spark):
     assert got == want
 
 
+def test_many_sources_are_ranked_without_a_one_task_window(spark):
+    rng = random.Random(12)
+    votes = [rng.choice((0, 7, 7, rng.randint(1, 40), rng.randint(1, 90_000))) for _ in range(700)]
+    seats = 12_345
+    heap = sorted((-v / (2 * k + 1), i, k) for i, v in enumerate(votes) if v for k in range(min(seats, v)))[:seats]
+    want = defaultdict(int)
+    for _, i, _ in heap:
+        want[i] += 1
+    cells = spark.createDataFrame([(i, float(v)) for i, v in enumerate(votes)], "cell long, votes double")
+    got = {r.cell: r.quota for r in mixing.apportion_all(cells, "cell", "votes", seats, "quota").collect()}
+    assert got == {i: want[i] for i in range(len(votes))}
+    assert mixing.apportion_all(cells.limit(0), "cell", "votes", 0, "quota").count() == 0
+    sizes = {f"s{i:04}": v for i, v in enumerate(votes)}
+    frame = spark.createDataFrame([("a" + s, v, 1) for s, v in sizes.items()], "_place string, _words long, _docs long")
+    targets = plain_targets(sizes)
+    found = mixing.source_targets(frame)
+    assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    for r in found.collect():
+        assert abs(r._target - targets[r._place[1:]]) < 1e-6 * max(1, targets[r._place[1:]])
+
+
 # --- fingerprints -----------------------------------------------------------------
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import parts, stored, whole
+from tidemark.operators.ordered import running_totals, with_rank
 
 WEIGHTS = (5, 2, 1)   # by code point of the source, repeating
 MOST = 3              # times a source or document may be repeated
@@ -44,28 +45,37 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
     Sources are filled in the order of limit / weight.  Where the level that the
     rest would get lies at or above a source's limit, the source stops there.
+    Sources may be as many as sites: they are numbered and summed by ranges.
     """
-    everything = Window.partitionBy()
-    order = Window.orderBy("_place")
-    weighted = sizes.select(
-        "*",
-        F.get(F.array(*map(F.lit, weights)), (F.row_number().over(order) - 1) % len(weights)).cast("long").alias("_weight"),
-        F.sum("_words").over(everything).alias("_all"),
-        (F.col("_words") * most).alias("_limit"),
+    numbered = with_rank(sizes, ["_place"], "_number").select(
+        *sizes.columns,
+        F.get(F.array(*map(F.lit, weights)), ((F.col("_number") - 1) % len(weights)).cast("int")).cast("long").alias("_weight"),
+    )
+    fill = F.col("_words") * most / F.col("_weight")
+    summed = running_totals(numbered.withColumn("_fill", F.struct(fill.alias("at"), "_place")), "_fill", ["_words", "_weight"])
+    level = (F.col("_words_total") - most * F.col("_words_before")) / (F.col("_weight_total") - F.col("_weight_before"))
+    leveled = summed.select("*", level.alias("_level"))
+    final = leveled.agg(F.min(F.when(F.col("_fill.at") > F.col("_level"), F.struct("_fill", "_level")))["_level"].alias("level")).scalar()
+    return leveled.withColumn("_final", final).select(
+        "_place", "_words", "_docs",
+        F.coalesce(F.least(F.col("_weight") * F.col("_final"), (F.col("_words") * most).cast("double")), F.lit(0.0)).alias("_target"),
     )
-    by_limit = Window.orderBy(F.col("_limit") / F.col("_weight"), "_place")
-    before = by_limit.rowsBetween(Window.unboundedPreceding, -1)
-    onwards = by_limit.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.col("_all") - F.coalesce(F.sum("_limit").over(before), F.lit(0))) / F.sum("_weight").over(onwards)
-    leveled = weighted.select("*", level.alias("_level"), F.row_number().over(by_limit).alias("_turn"))
-    open_ = F.col("_limit") / F.col("_weight") > F.col("_level")
-    final = F.min(F.when(open_, F.struct("_turn", "_level"))).over(everything)["_level"]
-    return leveled.select(
-        "_place", "_words", "_docs", "_all",
-        F.coalesce(F.least(F.col("_weight") * final, F.col("_limit").cast("double")), F.lit(0.0)).alias("_target"),
+
+
+def _sure(cells: DataFrame, seats: str) -> DataFrame:
+    """Add ``_low`` and ``_high``: the seats that every and some divisor in reach gives a cell, from ``_sum`` and ``_n``."""
+    v, n, s = F.col("_votes"), F.col("_n"), F.col(seats)
+    return cells.select(
+        "*",
+        F.when(v > 0, F.greatest(F.lit(0), F.ceil(v / F.col("_sum") * (s - n / 2) - 0.5 - 1e-6))).otherwise(0).cast("long").alias("_low"),
+        F.when(v > 0, F.greatest(F.lit(0), F.floor(v / F.col("_sum") * (s + n / 2) + 0.5 + 1e-6))).otherwise(0).cast("long").alias("_high"),
     )
 
 
+def _tries() -> Column:
+    return F.when(F.col("_high") > F.col("_low"), F.sequence("_low", F.col("_high") - 1))
+
+
 def apportion(cells: DataFrame, parents: list[str], cell: str, votes: str, seats: str, quota: str) -> DataFrame:
     """Add ``quota``: Sainte-Laguë seats of every cell within its parents.
 
@@ -74,16 +84,12 @@ def apportion(cells: DataFrame, parents: list[str], cell: str, votes: str, seats
     only the few quotients beyond those are ranked.
     """
     within = Window.partitionBy(*parents)
-    v, n, s = F.col("_votes"), F.col("_n"), F.col(seats)
-    bounds = (
-        cells.withColumn("_votes", F.col(votes).cast("double"))
-        .select("*", F.sum("_votes").over(within).alias("_sum"), F.count(F.when(v > 0, 1)).over(within).alias("_n"))
-        .select("*", F.when(v > 0, F.greatest(F.lit(0), F.ceil(v / F.col("_sum") * (s - n / 2) - 0.5 - 1e-6))).otherwise(0).cast("long").alias("_low"),
-                F.when(v > 0, F.greatest(F.lit(0), F.floor(v / F.col("_sum") * (s + n / 2) + 0.5 + 1e-6))).otherwise(0).cast("long").alias("_high"))
-        .withColumn("_left", F.col(seats) - F.sum("_low").over(within))
-    )
-    tries = F.when(F.col("_high") > F.col("_low"), F.sequence("_low", F.col("_high") - 1))
-    ranked = bounds.select("*", F.explode_outer(tries).alias("_k")).withColumn(
+    v = F.col("_votes")
+    counted = cells.withColumn("_votes", F.col(votes).cast("double")).select(
+        "*", F.sum("_votes").over(within).alias("_sum"), F.count(F.when(v > 0, 1)).over(within).alias("_n")
+    )
+    bounds = _sure(counted, seats).withColumn("_left", F.col(seats) - F.sum("_low").over(within))
+    ranked = bounds.select("*", F.explode_outer(_tries()).alias("_k")).withColumn(
         "_rank",
         F.row_number().over(within.orderBy(F.desc_nulls_last(v / (2 * F.col("_k") + 1)), cell, "_k")),
     )
@@ -95,6 +101,25 @@ def apportion(cells: DataFrame, parents: list[str], cell: str, votes: str, seats
     )
 
 
+def apportion_all(cells: DataFrame, cell: str, votes: str, seats: int, quota: str) -> DataFrame:
+    """``apportion`` over one parent with any number of cells: quotients are ranked by ranges, not in one task."""
+    voted = cells.withColumn("_votes", F.col(votes).cast("double"))
+    held = voted.agg(F.struct(F.sum("_votes").alias("sum"), F.count(F.when(F.col("_votes") > 0, 1)).alias("n")))
+    counted = voted.withColumn("_held", held.scalar()).withColumns(
+        {"_sum": F.col("_held.sum"), "_n": F.col("_held.n"), "_seats": F.lit(seats)}
+    )
+    bounds = stored(_sure(counted, "_seats").select(*cells.columns, "_votes", "_low", "_high"), "seats")
+    left = bounds.agg(F.lit(seats) - F.coalesce(F.sum("_low"), F.lit(0)))
+    tries = bounds.select(cell, "_votes", F.explode(_tries()).alias("_k")).select(
+        F.struct((-F.col("_votes") / (2 * F.col("_k") + 1)).alias("q"), cell, "_k").alias("_try"), F.lit(1).cast("long").alias("_one")
+    )
+    ranked = running_totals(tries, "_try", ["_one"]).withColumn("_left", left.scalar())
+    won = ranked.where(F.col("_one_before") < F.col("_left")).groupBy(F.col(f"_try.{cell}").alias("_winner")).agg(F.count(F.lit(1)).alias("_won"))
+    return bounds.join(won, F.col(cell) == F.col("_winner"), "left").select(
+        *cells.columns, (F.col("_low") + F.coalesce("_won", F.lit(0))).alias(quota)
+    )
+
+
 def _parts(docs: Column, total: Column, shard_words: int, shard_docs: int) -> tuple[Column, Column]:
     """Groups of a source and shards in a group: about a root of the shards each."""
     shards = F.greatest(F.lit(1), F.ceil(total / shard_words), F.ceil(docs / shard_docs))
@@ -124,9 +149,9 @@ def mix(
     """
     sized = stored(_sized(df, keys, text, source, seed), "sized")
     sizes = sized.groupBy("_place").agg(F.sum("_size").alias("_words"), F.count(F.lit(1)).alias("_docs"))
-    targets = source_targets(sizes, weights, most)
-    seats = F.round(F.sum("_target").over(Window.partitionBy()) / block).cast("long")
-    sources = apportion(targets.withColumn("_seats", seats).withColumn("_top", F.lit(0)), ["_top"], "_place", "_target", "_seats", "_blocks")
+    targets = stored(source_targets(sizes, weights, most), "targets")
+    seats = targets.agg(F.round(F.sum("_target") / block).cast("long")).first()[0] or 0
+    sources = apportion_all(targets, "_place", "_target", seats, "_blocks")
     groups, shards = _parts(F.col("_docs"), F.col("_words"), shard_words, shard_docs)
     sources = stored(
         sources.select("_place", "_words", "_target", "_blocks", groups.alias("_groups"), shards.alias("_shards")), "sources"
