@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import parts, whole, words
+from tidemark.llm.common import parts, stored, whole, words
+from tidemark.operators.ordered import running_totals
 
 K, S = 4, 1
 NEIGHBOURS = 64   # ids per block when documents are put next to each other
@@ -78,7 +79,8 @@ def with_next(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows (_doc, _text, _next): every text with the one that follows by id.
 
     Ids are cut into blocks of ``NEIGHBOURS``; inside a block a window finds the
-    next text, and the last row of a block gets the first of the next block.
+    next text, and the last row of a block gets the first of the next block.  Blocks
+    are numbered by ranges, as there is one per document where ids are sparse.
     Null ids come first, equal ids in the order of their texts; the last row is
     followed by the first.
     """
@@ -88,18 +90,11 @@ def with_next(df: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
         F.coalesce(F.floor(F.col(doc_id) / NEIGHBOURS).cast("long"), lowest).alias("_block"),
     )
-    blocks = rows.select("_block").distinct()
-    far = F.shiftright("_block", 12)
-    within = Window.partitionBy("_far").orderBy("_block")
-    placed = blocks.select("_block", far.alias("_far"))
-    tops = placed.groupBy("_far").agg(F.max("_block").alias("_top"))
-    tops = tops.select(
-        "_far",
-        F.coalesce(F.lag("_top").over(Window.orderBy("_far")), F.max("_top").over(Window.partitionBy())).alias("_before_far"),
-    )
-    before = placed.select("*", F.lag("_block").over(within).alias("_before")).join(tops, "_far").select(
-        "_block", F.coalesce("_before", "_before_far").alias("_before")
-    )
+    blocks = rows.select("_block").distinct().withColumn("_one", F.lit(1).cast("long"))
+    numbered = stored(running_totals(blocks, "_block", ["_one"]), "text_blocks")
+    lefts = numbered.select(F.col("_block").alias("_before"), (F.col("_one_before") + 1).alias("_number"))
+    turn = F.when(F.col("_one_before") == 0, F.col("_one_total")).otherwise(F.col("_one_before"))
+    before = numbered.select("_block", turn.alias("_number")).join(lefts, "_number").select("_block", "_before")
     order = Window.partitionBy("_block").orderBy(F.asc_nulls_first("_doc"), "_text")
     inside = rows.select(
         "*",
