@@ -1,11 +1,14 @@
 """Exact top-k search over binary codes by multi-index hashing.
 
 A vector's code has one bit per dimension (set where the value isn't negative),
-cut into segments of ``SEGMENT`` bits.  Equal codes are one class.  The index
+cut into segments of about log2(classes) bits, so that a segment value is held by
+one class or so however large the index is.  Equal codes are one class.  The index
 lists every class under each of its segment values.  If all segment values within
 ``r`` bits of a query's are looked up, every code not seen differs by more than
-``r`` bits in each segment, so by at least ``segments * (r + 1)`` in all.  The
-radius grows until the k-th verified distance lies below that, query by query.
+``r`` bits in each segment, so by at least ``segments * (r + 1)`` in all.  Step
+``r`` looks up the values that differ by exactly ``r`` bits and adds what they hold
+to what the query has met before; a query is done when its k-th verified distance
+lies below that bound.
 """
 
 from __future__ import annotations
@@ -19,31 +22,54 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-SEGMENT = 16   # bits
+SEGMENTS = 8, 30   # bits of a segment, at least and at most
 K = 10
 
 
-def codes(df: DataFrame, key: str, vector: str, segments: int) -> DataFrame:
-    """Distinct (_id, s0, s1, ...): the code of every vector that isn't null."""
+def codes(df: DataFrame, key: str, vector: str, bits: int) -> DataFrame:
+    """Distinct (_id, _code): the code of every vector that isn't null, as words of 32 bits."""
 
-    def bits(j: int) -> Column:
-        return reduce(add, [F.when(F.get(vector, F.lit(j * SEGMENT + b)) >= 0, 1 << b).otherwise(0) for b in range(SEGMENT)])
+    def word(start: int) -> Column:
+        return reduce(add, [F.when(F.get(vector, F.lit(start + b)) >= 0, F.lit(1 << b)).otherwise(0).cast("long") for b in range(32)])
 
     return (
         df.where(F.col(vector).isNotNull())
-        .select(F.col(key).alias("_id"), *[bits(j).alias(f"s{j}") for j in range(segments)])
+        .select(F.col(key).alias("_id"), F.array(*[word(start) for start in range(0, bits, 32)]).alias("_code"))
         .distinct()
     )
 
 
-def _masks(radius: int) -> Column:
-    """Every segment value with at most ``radius`` bits set, as an array."""
-    values = [sum(1 << b for b in chosen) for r in range(radius + 1) for chosen in combinations(range(SEGMENT), r)]
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+def segment_values(code: str, bits: int, width: int) -> Column:
+    """The code cut into segments of ``width`` bits, as an array of numbers."""
 
+    def cut(start: int) -> Column:
+        at, shift = divmod(start, 32)
+        low = F.shiftright(F.get(code, F.lit(at)), shift)
+        high = F.shiftleft(F.coalesce(F.get(code, F.lit(at + 1)), F.lit(0).cast("long")), 32 - shift)
+        return low.bitwiseOR(high).bitwiseAND(F.lit((1 << width) - 1))
 
-def _differing(segments: int) -> list[Column]:
-    return [F.bit_count(F.col(f"t{j}").bitwiseXOR(F.col(f"s{j}"))) for j in range(segments)]
+    return F.array(*[cut(start) for start in range(0, bits, width)])
+
+
+def _masks(own: Column, width: int, radius: int) -> Column:
+    """Every value that differs from ``own`` in exactly ``radius`` of ``width`` bits, as an array.
+
+    The bits are flipped from the lowest up, each above the one before.
+    """
+    powers = F.array(*[F.lit(1 << i).cast("long") for i in range(width)])
+
+    def flipped(flips: Column, left: int) -> Column:
+        """All flips with one bit more, ``left`` more to come."""
+        places = F.sequence(F.lit(0), F.lit(width - 1 - left))
+        return F.flatten(F.transform(flips, lambda f: F.transform(
+            F.filter(places, lambda b: b >= f["next"]),
+            lambda b: F.struct(f["v"].bitwiseXOR(F.get(powers, b)).alias("v"), (b + 1).alias("next")),
+        )))
+
+    flips = F.array(F.struct(own.alias("v"), F.lit(0).alias("next")))
+    for left in range(radius - 1, -1, -1):
+        flips = flipped(flips, left)
+    return F.transform(flips, lambda f: f["v"])
 
 
 def search(
@@ -61,67 +87,61 @@ def search(
     if bits is None:
         longest = df.select(key, vector).unionByName(queries.select(key, vector)).agg(F.max(F.size(vector))).first()[0]
         bits = max(longest or 1, 1)
-    segments = -(-bits // SEGMENT)
-    names = [f"s{j}" for j in range(segments)]
-    everyone = stored(codes(df, key, vector, segments), "codes")
-    asked = stored(codes(queries, key, vector, segments).toDF("_query", *[f"t{j}" for j in range(segments)]), "asked")
+    everyone = stored(codes(df, key, vector, bits), "codes")
+    asked = stored(codes(queries, key, vector, bits).toDF("_query", "_asked"), "asked")
 
     # a class needs no more ids than one query can take, its own id apart
-    own = Window.partitionBy(*names).orderBy("_id")
+    own = Window.partitionBy("_code").orderBy("_id")
     ids = stored(
         everyone.where(F.col("_id").isNotNull()).select("*", F.row_number().over(own).alias("_turn")).where(F.col("_turn") <= k + 1)
-        .groupBy(*names).agg(F.collect_list("_id").alias("_ids")),
+        .groupBy("_code").agg(F.collect_list("_id").alias("_ids")),
         "code_classes",
     )
+    width = min(max(ids.count().bit_length(), SEGMENTS[0]), SEGMENTS[1], bits)
+    segments = -(-bits // width)
     index = stored(
-        ids.select(
-            *names, F.size("_ids").alias("_n"),
-            F.posexplode(F.array(*names)).alias("_segment", "_value"),
-        ),
+        ids.select("_code", F.size("_ids").alias("_n"), F.posexplode(segment_values("_code", bits, width)).alias("_segment", "_value")),
         "code_index",
     )
-    open_ = asked.select(*[f"t{j}" for j in range(segments)]).distinct()
+    distance = reduce(add, [F.bit_count(F.get("_asked", F.lit(w)).bitwiseXOR(F.get("_code", F.lit(w)))) for w in range(-(-bits // 32))])
+    here, there = segment_values("_asked", bits, width), segment_values("_code", bits, width)
+    # queries still open, with a distance that their k-th doesn't exceed
+    open_ = asked.select("_asked").distinct().withColumn("_bound", F.lit(bits))
+    met: DataFrame | None = None
     done: list[DataFrame] = []
-    radius = 0
-    while True:
+    for radius in range(width + 1):
         reach = segments * (radius + 1) - 1
-        whole = reach >= bits or radius >= SEGMENT
-        probes = open_.select(
-            "*", F.posexplode(F.array(*[f"t{j}" for j in range(segments)])).alias("_segment", "_own")
-        ).select("*", F.explode(_masks(min(radius, SEGMENT))).alias("_mask")).select(
-            *[f"t{j}" for j in range(segments)], "_segment", F.col("_own").bitwiseXOR(F.col("_mask")).alias("_value")
+        last = reach >= bits or radius == width
+        probes = open_.select("*", F.posexplode(here).alias("_at", "_own")).select(
+            "_asked", "_bound", "_at", F.explode(_masks(F.col("_own"), width, radius)).alias("_looked")
         )
-        differing = _differing(segments)
-        # a code is taken at the first segment that finds it, if it is in reach
-        first = reduce(and_, [(F.col("_at") <= j) | (d > radius) for j, d in enumerate(differing)])
-        near = (first & (reduce(add, differing) <= reach)) if not whole else first
-        probes = probes.withColumnsRenamed({"_segment": "_at", "_value": "_looked"})
-        met = stored(
-            probes.hint("merge").join(index, (F.col("_at") == F.col("_segment")) & (F.col("_looked") == F.col("_value")) & near)
-            .select(*[f"t{j}" for j in range(segments)], *names, "_n", reduce(add, differing).cast("int").alias("_distance")),
-            "codes_met",
-        )
-        query = [f"t{j}" for j in range(segments)]
-        far = (
-            met.groupBy(*query, "_distance").agg(F.sum("_n").alias("_n"))
-            .select(*query, "_distance", F.sum("_n").over(Window.partitionBy(*query).orderBy("_distance")).alias("_upto"))
+        # a code is new if no segment is nearer, and is taken at the first segment as near as this
+        first = reduce(and_, [
+            F.bit_count(F.get(here, F.lit(j)).bitwiseXOR(F.get(there, F.lit(j)))) >= F.when(F.col("_at") > j, radius + 1).otherwise(radius)
+            for j in range(segments)
+        ])
+        new = probes.hint("merge").join(index, (F.col("_at") == F.col("_segment")) & (F.col("_looked") == F.col("_value")) & first).select(
+            "_asked", "_code", "_n", distance.cast("int").alias("_distance"), "_bound"
+        ).where(F.col("_distance") <= F.col("_bound")).drop("_bound")
+        met = stored(new if met is None else met.unionByName(new), "codes_met")
+        kth = (
+            met.groupBy("_asked", "_distance").agg(F.sum("_n").alias("_n"))
+            .select("_asked", "_distance", F.sum("_n").over(Window.partitionBy("_asked").orderBy("_distance")).alias("_upto"))
             .where(F.col("_upto") > k)
-            .groupBy(*query).agg(F.min("_distance").alias("_kth"))
+            .groupBy("_asked").agg(F.min("_distance").alias("_kth"))
         )
-        if whole:
-            far = open_.join(far, query, "left").select(*query, F.coalesce("_kth", F.lit(bits)).alias("_kth"))
-        far = stored(far, "codes_covered")
-        done.append(met.join(far, query).where(F.col("_distance") <= F.col("_kth")).drop("_kth", "_n"))
-        if whole:
-            break
-        open_ = stored(open_.join(far, query, "left_anti"), "codes_open")
-        if open_.isEmpty():
+        bounds = stored(open_.join(kth, "_asked", "left").select("_asked", F.coalesce("_kth", F.lit(bits)).alias("_bound"), F.col("_kth").isNotNull().alias("_full")), "codes_bound")
+        covered = F.lit(True) if last else F.col("_full") & (F.col("_bound") <= reach)
+        held = met.join(bounds, "_asked").where(F.col("_distance") <= F.col("_bound"))
+        done.append(held.where(covered).select("_asked", "_code", "_distance"))
+        open_ = bounds.where(~covered).select("_asked", "_bound")
+        if last or open_.isEmpty():
             break
-        radius += 1
+        met = held.where(~covered).select("_asked", "_code", "_n", "_distance")
     found = reduce(DataFrame.unionByName, done)
     rows = (
-        asked.join(found, query)
-        .join(ids, names)
+        asked.join(found, "_asked")
+        .join(ids, "_code")
         .select("_query", "_distance", F.explode("_ids").alias("_id"))
         .where(~F.col("_id").eqNullSafe(F.col("_query")))
     )
