@@ -225,3 +225,15 @@ check(
     f"""SELECT strftime(ts, '%Y-%m-%d') AS bucket, {dbl('sum(CAST(value AS DECIMAL(14,2)))')} AS revenue, count(*) AS events
         FROM events WHERE event_type = 'purchase' GROUP BY 1""",
 )
+check(
+    "st_revenue_revisions",
+    f"""WITH parts AS (
+          SELECT (coalesce(user_id, 0) % 3 + 3) % 3 AS part, date_trunc('day', ts) AS day,
+                 sum(CAST(value AS DECIMAL(14,2))) AS revenue, count(*) AS events
+          FROM events WHERE event_type = 'purchase' AND ts IS NOT NULL GROUP BY 1, 2
+        ),
+        seen AS (SELECT part, max(max(day)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM parts GROUP BY 1)
+        SELECT strftime(day, '%Y-%m-%d') AS bucket, {dbl('sum(revenue)')} AS revenue, sum(events)::BIGINT AS events, count(*) AS versions,
+               count(*) FILTER (day + INTERVAL 1 DAY <= newest - INTERVAL 7 DAY) AS corrections
+        FROM parts JOIN seen USING (part) GROUP BY 1""",
+)

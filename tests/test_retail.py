@@ -157,3 +157,33 @@ def test_star_partitions_are_pruned(spark, data, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year" in text
     assert "ReadSchema: struct<revenue:decimal(14,2)>" in text
+
+
+def test_upsert_leaves_a_bucketed_target_where_it_lies(spark, tmp_path):
+    target = spark.range(400).select((F.col("id") * 2).alias("k"), F.lit("old").alias("v"))
+    arrivals = spark.range(500).select("id", F.lit("new").alias("v")).toDF("k", "v").unionByName(
+        spark.createDataFrame([(1, "again"), (None, "no key")], "k long, v string")
+    )
+    name = f"upsert_target_{tmp_path.name.replace('-', '_')}"
+    kept = files.bucketed(target, ["k"], 8, name, str(tmp_path / "target"))
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = star.upsert_ignore(kept, arrivals, ["k"])
+        rows = got.collect()
+        plan = got._jdf.queryExecution().explainString(
+            spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+        spark.sql(f"DROP TABLE {name}")
+    plain = star.upsert_ignore(target, arrivals, ["k"]).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, plain)) and len(rows) == 651
+    lines = plan.split("== Initial Plan ==")[1].splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(n for n, line in enumerate(lines) if "Bucketed: true" in line)
+    above, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):       # what the target's rows go through
+        if line.strip() and depth(line) < level:
+            above, level = [*above, line], depth(line)
+    assert any("LeftAnti" in line for line in above) and not any("Exchange" in line for line in above), plan

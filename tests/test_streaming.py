@@ -88,6 +88,32 @@ def test_sums_are_compacted_and_nothing_is_lost(spark, tmp_path, monkeypatch):
     assert refresh.drop_compacted(spark, sink) == 4 and totals() == want
 
 
+def test_a_late_event_corrects_a_closed_bucket(spark, tmp_path):
+    source, sink, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def run():
+        stream = refresh.landing(spark, source, schema(spark))
+        refresh.keep_revisions(refresh.revised_totals(stream, "ts", "value", lateness="3 days"), sink, mark, partitions=2)
+
+    land(spark, source, [(1, at(1, 3), 5.0), (2, at(1, 4), 2.25), (3, at(2), 1.0)])
+    run()
+    land(spark, source, [(4, at(20), 1.0), (5, at(2, 5), 4.0)])              # day 2 is still open
+    run()
+    run()                                                                     # nothing new, nothing revised
+    land(spark, source, [(6, at(1, 9), -0.5), (7, at(1, 10), None), (8, None, 9.0), (9, at(19), 3.0)])
+    run()
+    rows = sorted((r.bucket_start.day, r.version, float(r.revenue), r.events, r.correction) for r in spark.read.parquet(sink).collect())
+    assert rows == [
+        (1, 1, 7.25, 2, False), (1, 2, 6.75, 4, True),
+        (2, 1, 1.0, 1, False), (2, 2, 5.0, 2, False),
+        (19, 1, 3.0, 1, False), (20, 1, 1.0, 1, False),
+    ]
+    got = {r.bucket_start.day: (float(r.revenue), r.events, r.versions, r.corrections) for r in refresh.latest_revisions(spark, sink).collect()}
+    assert got == {1: (6.75, 4, 2, 1), 2: (5.0, 2, 2, 0), 19: (3.0, 1, 1, 0), 20: (1.0, 1, 1, 0)}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+
+
 def test_alerts_follow_the_running_totals(spark, tmp_path):
     source, fact, alerts, mark = (str(tmp_path / n) for n in ("in", "fact", "alerts", "mark"))
     lines = "inward_date date, revenue double"

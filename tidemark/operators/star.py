@@ -130,7 +130,11 @@ def fact_sales(
 
 
 def upsert_ignore(target: DataFrame, arrivals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append rows whose key is new; the first of several arrivals with one key wins."""
+    """Append rows whose key is new; the first of several arrivals with one key wins.
+
+    A target that ``sources.files.bucketed`` keeps by the keys is joined where it
+    lies: only the arrivals are shuffled, into its buckets.
+    """
     first = keep_first(arrivals, keys, row_order_of(arrivals))
     return target.unionByName(first.join(target.select(*keys), list(keys), "left_anti"))
 
@@ -146,7 +150,8 @@ def constraint_violations(
     """One row per constraint: how many keys or rows break it.
 
     Duplicates are counted after a map-side pre-aggregation; orphans are the
-    rows left over by an anti join on the distinct foreign keys.
+    rows left over by an anti join on the distinct foreign keys.  The nulls of
+    all required columns of a table are counted in one pass.
     """
     checks = []
 
@@ -165,9 +170,17 @@ def constraint_violations(
         for rule, columns in [("primary", rules["primary"])] + [("unique", c) for c in rules["unique"]]:
             repeats = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
             report(name, rule, columns, repeats.select(F.lit(1).alias("_n")))
-        for column in rules["required"]:
-            nulls = df.where(F.col(column).isNull())
-            report(name, "required", [column], nulls.select(F.lit(1).alias("_n")))
+        if rules["required"]:   # all in one pass
+            nulls = [
+                F.struct(
+                    F.lit(name).alias("table_name"),
+                    F.lit("required").alias("rule"),
+                    F.lit(column).alias("columns"),
+                    F.count_if(F.col(column).isNull()).alias("violations"),
+                )
+                for column in rules["required"]
+            ]
+            checks.append(df.agg(F.array(*nulls).alias("_nulls")).select(F.inline("_nulls")))
         for column, (parent, parent_key) in rules.get("foreign", {}).items():
             used = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
             parents = tables[parent].select(F.col(parent_key).alias(column))

@@ -71,6 +71,20 @@ def st_window_revenue(spark, folder):
     return current.select(F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket"), "revenue", "events")
 
 
+@query
+def st_revenue_revisions(spark, folder):
+    """Purchases land in three parts by user; each part revises the days of the parts before it."""
+    events = tables.table(spark, folder, "events")
+    part = F.pmod(F.coalesce("user_id", F.lit(0)), F.lit(3))
+    source, sink, mark = (fresh_path(spark, n) for n in ("events_in", "revisions", "mark"))
+    for k in range(3):
+        events.where((part == k) & (F.col("event_type") == "purchase")).write.mode("append").parquet(source)
+        stream = refresh.landing(spark, source, events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+        refresh.keep_revisions(refresh.revised_totals(stream, "ts", "value"), sink, mark)
+    latest = refresh.latest_revisions(spark, sink)
+    return latest.select(F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket"), "revenue", "events", "versions", "corrections")
+
+
 @query
 def st_batch_score(spark, folder):
     """Score the feature table as it would arrive, batch by batch, and tell how far

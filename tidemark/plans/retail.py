@@ -12,6 +12,8 @@ from tidemark.plans.bases import Query, features, flat, registrar, sales, segmen
 from tidemark.session import fresh_path
 from tidemark.sources import files, tables
 
+BUCKETS = 64   # of the order table; about one per 128 MB at scale
+
 QUERIES: dict[str, Query] = {}
 query = registrar(QUERIES)
 
@@ -73,6 +75,8 @@ def op_sql_read(spark, folder):
 def op_upsert_ignore(spark, folder):
     lines = flat(spark, folder).select("order_id", "customer_name", "inward_date", "dispatch_date", "price", "quantity_sold")
     old = clean.keep_first(lines.where("quantity_sold <= 25"), ["order_id"], clean.row_order(lines))
+    path = fresh_path(spark, "orders")
+    old = files.bucketed(old, ["order_id"], BUCKETS, path.rsplit("/", 1)[1].replace("-", "_"), path)
     return star.upsert_ignore(old, lines, ["order_id"]).select("order_id", "customer_name", "price")
 
 

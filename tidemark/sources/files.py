@@ -50,3 +50,17 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], columns: str) -> Da
 def run_sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     """Run SQL text over named DataFrames, ``{name}`` standing for each of them."""
     return spark.sql(text, **tables)
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int, name: str, folder: str) -> DataFrame:
+    """Keep a table in ``buckets`` buckets of its keys, sorted by them, under a name of the catalog.
+
+    A join or an aggregate on the keys needs no shuffle of such a table.  The files
+    lie in ``folder``; the catalog only knows the name and the buckets.  About
+    one bucket per 128 MB and task is right, so that none outgrows a task.
+    """
+    (
+        df.write.format("parquet").mode("overwrite").option("path", folder)
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)

@@ -7,11 +7,13 @@ is run twice after a failure still counts once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.operators.clean import keep_first
 from tidemark.operators.growth import drop_alerts, month_growth, monthly_revenue
@@ -180,6 +182,83 @@ def drop_compacted(spark: SparkSession, sink: str) -> int:
     return len(gone)
 
 
+REVISION = "start_ms long, cents long, events long, version long, correction boolean"
+REVISED = "cents long, events long, version long"
+
+
+def _task_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per bucket of every Arrow batch, so that a hot bucket is not shuffled event by event."""
+    for batch in batches:
+        yield batch.groupby(["start_ms", "end_ms", "bucket_start"], as_index=False)[["cents", "events"]].sum()
+
+
+def _revise(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Add a batch's sums to the bucket's state and give its new totals."""
+    start_ms, end_ms = key
+    cents, events, version = state.get if state.exists else (0, 0, 0)
+    for batch in batches:
+        cents, events = cents + int(batch["cents"].sum()), events + int(batch["events"].sum())
+    version += 1
+    state.update((cents, events, version))
+    closed = end_ms <= state.getCurrentWatermarkMs()
+    yield pd.DataFrame({"start_ms": [start_ms], "cents": [cents], "events": [events], "version": [version], "correction": [closed]})
+
+
+def revised_totals(stream: DataFrame, event_time: str, amount: str, width: str = "1 day", lateness: str = "7 days") -> DataFrame:
+    """A row per time bucket and batch that changes it: the bucket's totals so far and the row's version.
+
+    Totals are kept as keyed state, one small row per bucket, and nothing is
+    dropped for being late.  A bucket is closed once a bucket that starts
+    ``lateness`` after its end has been seen in an earlier batch; a row that
+    changes a closed bucket is marked as a ``correction``.  A missing amount counts
+    as an event of no revenue; events without a time are in no bucket.
+    """
+    bucket = F.window(event_time, width)
+    placed = stream.select(
+        F.unix_millis(bucket["start"]).alias("start_ms"),
+        F.unix_millis(bucket["end"]).alias("end_ms"),
+        bucket["start"].alias("bucket_start"),
+        F.coalesce((F.col(amount).cast("decimal(14,2)") * 100).cast("long"), F.lit(0)).alias("cents"),
+        F.lit(1).cast("long").alias("events"),
+    )
+    revised = (
+        placed.mapInPandas(_task_sums, placed.schema)
+        .withWatermark("bucket_start", lateness)
+        .groupBy("start_ms", "end_ms")
+        .applyInPandasWithState(_revise, REVISION, REVISED, "update", GroupStateTimeout.NoTimeout)
+    )
+    return revised.select(
+        F.timestamp_millis("start_ms").alias("bucket_start"),
+        (F.col("cents").cast("decimal(20,0)") / 100).cast("decimal(20,2)").alias("revenue"),
+        "events", "version", "correction",
+    )
+
+
+def keep_revisions(revisions: DataFrame, sink: str, checkpoint: str, partitions: int = 16) -> None:
+    """Write every batch's revisions under its id; the state lies in the checkpoint folder.
+
+    State has one row per bucket, so it needs few partitions, however many events
+    there are; their number is fixed by the first run.
+    """
+    spark = revisions.sparkSession
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        write_batches(revisions, sink, checkpoint, lambda batch: batch, mode="update")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
+def latest_revisions(spark: SparkSession, sink: str) -> DataFrame:
+    """Every bucket's last totals, how many versions it had and how many of them were corrections."""
+    newest = F.max_by(F.struct("revenue", "events"), "version").alias("_last")
+    return (
+        spark.read.parquet(sink).groupBy("bucket_start")
+        .agg(newest, F.count(F.lit(1)).alias("versions"), F.count_if("correction").alias("corrections"))
+        .select("bucket_start", "_last.revenue", "_last.events", "versions", "corrections")
+    )
+
+
 def batch_score(stream: DataFrame, sink: str, checkpoint: str, scorer: Callable[[DataFrame], DataFrame]) -> None:
     """Score every new entity-month with a fitted model."""
     write_batches(stream, sink, checkpoint, scorer)
