@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import clean, growth, profile, reports, rfm, star
-from tidemark.sources import files
+from tidemark.sources import files, tables
 
 
 def test_keep_first_uses_the_total_order(spark):
@@ -24,6 +24,32 @@ def test_keep_first_prunes_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_lines_joined_to_their_orders_are_not_shuffled_again(spark, data):
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = tables.sales_flat(spark, data)
+        plain, kept = clean.dedupe_sales(raw), clean.dedupe_sales(raw, tables.order_of_line())
+        shuffles = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (raw, plain, kept)]
+        assert shuffles == [shuffles[0], shuffles[0] + 1, shuffles[0]]
+        assert kept.exceptAll(plain).isEmpty() and kept.count() == plain.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
+def test_wide_product_columns_leave_before_the_customers_join(spark, data):
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = clean.derive_sales(clean.repair_text(tables.sales_flat(spark, data)))
+        fact = star.fact_sales(lines, star.customer_keys(lines), star.dim_product(lines), star.dim_region(lines))
+        plan = fact._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    joins = [line for line in plan if "Join LeftOuter" in line]
+    assert "customer_name" in joins[0] and "ram_gb" in joins[2]     # the outermost join comes first
+
+
 def test_median_fill(spark):
     rows = [("a", 1.0), ("a", 3.0), ("a", None), ("b", None), (None, None), ("c", 8.0)]
     got = clean.fill_group_median(spark.createDataFrame(rows, "g string, v double"), "v", "g").collect()

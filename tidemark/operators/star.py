@@ -106,15 +106,14 @@ def fact_sales(
 ) -> DataFrame:
     """Natural keys -> surrogate keys.  Date keys are computed, not looked up.
 
-    ``customers`` needs the name and key only.
+    ``customers`` needs the name and key only.  Products come first: their five wide
+    columns leave with that join and are not shuffled again for the customers.
     """
     keyed = (
-        sales.join(customers.select("customer_key", "customer_name"), "customer_name", "left")
-        .join(
-            regions.select("region_key", F.col("region_name").alias("region")), "region", "left"
-        )
+        join_null_safe(sales, products, PRODUCT_COLUMNS, "left")
+        .join(regions.select("region_key", F.col("region_name").alias("region")), "region", "left")
+        .join(customers.select("customer_key", "customer_name"), "customer_name", "left")
     )
-    keyed = join_null_safe(keyed, products, PRODUCT_COLUMNS, "left")
     return keyed.select(
         "order_id",
         "customer_key",
