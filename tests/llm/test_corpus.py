@@ -450,6 +450,27 @@ def test_quality_rejects_poor_and_keeps_good(spark, data):
     assert quality.score(odd.limit(0), labels).count() == 0
 
 
+def test_quality_is_fitted_on_all_labelled_rows(spark):
+    """More labelled rows than the 20,000 that were once sampled: every one has its say."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["aB", "c1.", "d!", "Eee", "#%&f"]) for _ in range(1 + i % 7)), i % 3) for i in range(24_000)]
+    frame = spark.createDataFrame([(i, t, "en", f"s{k}", len(t)) for i, t, k in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4, "doc_id")
+    labels = spark.createDataFrame([(i, int(rng.random() < 0.2 + 0.6 * ("!" in t))) for i, t, _ in rows], "doc_id long, quality int")
+    columns = quality.measures(F.col("text"))
+    part = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(5)).alias("_part")
+    found = quality.score(frame, labels).join(labels, "doc_id").select("quality", part, "quality_evidence", "quality_score", "quality_keep", *[c.alias(n) for n, c in columns.items()]).toPandas()
+    x, y, own = found[list(columns)].to_numpy(float), found.quality.to_numpy(float), found._part.to_numpy() != 0
+    mean, scale = x[own].mean(0), x[own].std(0) + 1e-9
+    a, w = np.c_[np.ones(len(x)), (x - mean) / scale], np.zeros(len(columns) + 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-a[own] @ w))
+        w -= np.linalg.solve((a[own] * (p * (1 - p))[:, None]).T @ a[own] + quality.RIDGE * np.eye(len(w)), a[own].T @ (p - y[own]) + quality.RIDGE * w)
+    assert np.abs(1 / (1 + np.exp(-a @ w)) - found.quality_evidence).max() < 1e-5
+    held = found[found._part == 0]
+    limit = quality.cut_off(held.quality_score.to_numpy(float), held.quality.to_numpy(float))
+    assert (found.quality_keep == (found.quality_score >= limit)).all()
+
+
 def test_sparse_hosts_are_shrunk(spark):
     rng = np.random.default_rng(0)
     rows = [("big", "p", float(c)) for c in rng.beta(8, 2, 400)] + [("poor", "p", float(c)) for c in rng.beta(2, 8, 400)] + [("small", "p", 0.05)]

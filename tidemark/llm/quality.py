@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import parts, stored, whole
+from tidemark.operators.ordered import running_totals
 
-SAMPLE = 20_000    # labelled rows that the classifier is fitted on at most
 LOSS = 10.0        # a good document rejected costs so many poor ones kept
 RIDGE = 1e-2
 EDGE = 1e-6
@@ -74,17 +74,49 @@ class Classifier:
         return F.least(F.greatest(1 / (1 + F.exp(-margin)), F.lit(EDGE)), F.lit(1 - EDGE))
 
 
-def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> Classifier:
-    """Newton steps on the ridge logistic loss; without both classes, the base rate alone."""
+def _totals(rows: DataFrame, cells: list[Column]) -> np.ndarray:
+    """The sums of ``cells`` over all rows, in one job; without rows, zeros."""
+    return np.array([v or 0.0 for v in rows.agg(F.array(*[F.sum(c) for c in cells]).alias("t")).first()["t"]], float)
+
+
+def _newton_sums(weights: np.ndarray, mean: np.ndarray, scale: np.ndarray):
+    """Adds up a task's part of a Newton step, the gradient beside the curvature."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        sums = np.zeros((len(weights), len(weights) + 1))
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]
+            a = np.c_[np.ones(batch.num_rows), (np.stack(columns[1:], axis=1) - mean) / scale]
+            p = 1 / (1 + np.exp(-np.clip(a @ weights, -30, 30)))
+            sums[:, 0] += a.T @ (p - columns[0])
+            sums[:, 1:] += (a * (p * (1 - p))[:, None]).T @ a
+        yield pa.RecordBatch.from_arrays([pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+    return run
+
+
+def fit(rows: DataFrame, names: list[str], label: str = "_label") -> Classifier:
+    """Newton steps on the ridge logistic loss; without both classes, the base rate alone.
+
+    Every step is one pass over all ``rows``, in which a task adds up its gradient and
+    curvature; the driver gets one small row per task.
+    """
     width = len(names)
-    if len(y) == 0 or y.min() == y.max():
+    y, m = F.col(label).cast("double"), [F.col(f"_m_{n}") for n in names]
+    n, good, *means = _totals(rows, [F.lit(1.0), y, *m])
+    if good in (0, n):
         return Classifier(tuple(names), (0.0,) * width, (1.0,) * width, (0.0,) * width, 0.0)
-    mean, scale = x.mean(0), x.std(0) + 1e-9
-    a = np.c_[np.ones(len(x)), (x - mean) / scale]
+    mean = np.array(means) / n
+    spread = _totals(rows, [(c - float(v)) * (c - float(v)) for c, v in zip(m, mean, strict=True)])
+    scale = np.sqrt(spread / n) + 1e-9
     w = np.zeros(width + 1)
+    inputs = rows.select(y.alias("_y"), *m)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + RIDGE * np.eye(width + 1), a.T @ (p - y) + RIDGE * w)
+        found = inputs.mapInArrow(_newton_sums(w, mean, scale), "sums array<double>").collect()
+        sums = sum(np.array(r["sums"]).reshape(width + 1, width + 2) for r in found)
+        step = np.linalg.solve(sums[:, 1:] + RIDGE * np.eye(width + 1), sums[:, 0] + RIDGE * w)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -104,6 +136,19 @@ def cut_off(scores: np.ndarray, good: np.ndarray, loss: float = LOSS) -> float:
     return float(s[0] - 1 if at == 0 else (s[at - 1] + s[at]) / 2)
 
 
+def least_loss(rows: DataFrame, score: str = "_score", good: str = "_label", loss: float = LOSS) -> float:
+    """``cut_off`` of a table of any size: distinct scores are counted and ranked by ranges."""
+    hit = F.col(good) == 1
+    counts = rows.groupBy(F.col(score).alias("s")).agg(F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg"))
+    ranked = running_totals(counts, "s", ["pos", "neg"])
+    lost = F.col("pos_before") * float(loss) + F.col("neg_total") - F.col("neg_before")
+    best = ranked.where("pos_total > 0 AND neg_total > 0").agg(F.min(F.struct(lost.alias("lost"), "s")).alias("best")).first()["best"]
+    if best is None:
+        return -np.inf
+    below = counts.where(F.col("s") < best["s"]).agg(F.max("s")).first()[0]
+    return float(best["s"] - 1 if below is None else (below + best["s"]) / 2)
+
+
 def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
@@ -158,14 +203,13 @@ def score(
     path: str | None = "lang",
     label: str = "quality",
     label_key: str = "doc_id",
-    sample: int = SAMPLE,
 ) -> DataFrame:
     """``df`` with quality_evidence, quality_host, quality_path, quality_score and quality_keep.
 
     Evidence and posteriors are chances of good quality, the score is a log odds
-    and keep says whether it reaches the cut-off.  The classifier is fitted on at
-    most ``sample`` labelled rows (smallest hashes of the key): four fifths fit
-    the weights, one fifth sets the cut-off.  A null text counts as empty; null
+    and keep says whether it reaches the cut-off.  All labelled rows are used:
+    four fifths of them (by hash of the key) fit the weights, one fifth sets the
+    cut-off.  A null text counts as empty; null
     hosts and paths are groups of their own; labels that are null, of other
     values than 0 and 1 or of unknown keys are ignored; without both classes
     everything is kept.  Repeated rows each count.  Columns of these names are
@@ -180,14 +224,11 @@ def score(
         "quality_measures",
     )
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(label_key).alias("_key"), F.col(label).cast("int").alias("_label"))
+    part = F.pmod(F.xxhash64(F.lit(7), "_key"), F.lit(5)).alias("_part")
     chosen = stored(
-        rows.join(known, "_key").orderBy(F.xxhash64("_key"), "_key", "_label", *[f"_m_{n}" for n in names]).limit(sample),
-        "quality_sample",
+        rows.join(known, "_key").select("_host", "_path", "_label", part, *[f"_m_{n}" for n in names]), "quality_labelled"
     )
-    found = chosen.select("_label", *[f"_m_{n}" for n in names], F.pmod(F.xxhash64(F.lit(7), "_key"), F.lit(5)).alias("_part")).toPandas()
-    x = found[[f"_m_{n}" for n in names]].to_numpy(float)
-    y, held = found["_label"].to_numpy(float), found["_part"].to_numpy() == 0
-    model = fit(x[~held], y[~held], names)
+    model = fit(chosen.where("_part <> 0"), names)
     stored_measures = {n: F.col(f"_m_{n}") for n in names}
     groups, mean, host_strength, path_strength = posteriors(
         rows.select("_host", "_path", model.chance(stored_measures).alias("_chance"))
@@ -206,15 +247,12 @@ def score(
         )
 
     checked = scored(
-        chosen.select(
-            "_host", "_path", "_label", F.pmod(F.xxhash64(F.lit(7), "_key"), F.lit(5)).alias("_part"),
-            model.chance(stored_measures).alias("_chance"),
-        )
-    ).select("_score", "_label", "_part").toPandas()
-    own = checked[checked["_part"] == 0]
-    if own["_label"].nunique() < 2:
+        chosen.select("_host", "_path", "_label", "_part", model.chance(stored_measures).alias("_chance"))
+    ).select("_score", "_label", "_part")
+    own = checked.where("_part = 0")
+    if own.agg(F.countDistinct("_label")).first()[0] < 2:
         own = checked
-    limit = cut_off(own["_score"].to_numpy(float), own["_label"].to_numpy(float))
+    limit = least_loss(stored(own, "quality_checked"))
     made = {
         "quality_evidence": F.col("_chance"), "quality_host": F.col("_of_host"), "quality_path": F.col("_of_path"),
         "quality_score": F.col("_score"), "quality_keep": F.col("_score") >= F.lit(limit),
