@@ -249,6 +249,23 @@ def test_explained_rows_add_up_and_rank(spark, training, make):
     assert empty.count() == 0 and none.count() == 0
 
 
+def test_leaves_are_worked_out_once_per_pattern(monkeypatch):
+    """Many rows cost a leaf of two features four patterns, with the results of rows taken alone."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(3000, 3)).round(1)
+    x[0, 0], x[1, 1] = np.nan, np.inf
+    paths = [
+        (1.0, {0: (-np.inf, 0.5, 0.6), 1: (-0.2, np.inf, 0.3)}), (-2.0, {2: (-1.0, 0.4, 0.5), 0: (0.5, np.inf, 0.4)}),
+        (0.5, {1: (-np.inf, 0.0, 0.7)}), (3.0, {}),
+    ]
+    _, packed = explain._pack(paths)
+    alone = np.concatenate([explain._shapley(x[i : i + 1], packed) for i in range(len(x))])
+    worked, parts = [], explain._leaf_parts
+    monkeypatch.setattr(explain, "_leaf_parts", lambda passes, values, share: worked.append(len(passes)) or parts(passes, values, share))
+    assert explain._shapley(x, packed) == pytest.approx(alone, abs=1e-12)
+    assert sorted(worked) == [2, 4]
+
+
 def test_tops_break_ties_by_name():
     up, down = explain.signed_tops(np.array([[0.5, -0.1, 0.5, 0.0, -0.1]]), ["b", "z", "a", "n", "y"], 5)
     assert [d["feature"] for d in up[0]] == ["a", "b"] and [d["feature"] for d in down[0]] == ["y", "z"]
