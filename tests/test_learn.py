@@ -299,3 +299,18 @@ def test_price_parts_add_up(spark, data):
     )
     assert gap.first()[0] < 1e-6
     assert price.price_metrics(model, rows).first().mae > 0
+
+
+def test_price_levels_are_joined(spark):
+    """A row looks its level up; it doesn't go through all levels by itself."""
+    weights = spark.createDataFrame(
+        [("base", None, 10.0), ("brand", "a", 1.0), ("brand", None, 0.5), ("region", "a", 2.0), ("ram_gb", None, 0.25)],
+        "term string, level string, weight double",
+    )
+    specs = spark.createDataFrame(
+        [(1, "a", "a", 4.0), (2, None, None, None), (3, "new", "b", 8.0)], "order_id int, brand string, region string, ram_gb double"
+    )
+    got = price.estimated_price(specs, weights, ["order_id"], ["ram_gb"], ["brand", "region"])
+    assert {r.order_id: r.estimated_price for r in got.collect()} == {1: 14.0, 2: 10.5, 3: 12.0}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "map_from_entries" not in plan
