@@ -2,10 +2,12 @@
 
 Every setting on every fold is a problem of its own, but all of them need the same
 thing from a row: what it adds to the problem's loss, gradient and curvature at the
-problem's current weights.  One pass gives these sums for all problems at once: each
+problem's current weights.  One pass gives these sums for all problems at once: a
+batch's rows are standardized once and multiplied with the weights of all problems, each
 task adds up its Arrow batches and gives one row per problem, a grouped aggregation
 adds the tasks up, and the driver takes a Newton step per problem.  Penalties on sizes
-are dealt with in the step (coordinate descent on the quadratic model).  A step that
+are dealt with in the step (coordinate descent on the quadratic model until the signs of
+the weights are those of its minimum).  A step that
 made its problem worse is halved.  Problems that have settled leave the passes.
 """
 
@@ -68,21 +70,44 @@ def newton_step(weights: np.ndarray, gradient: np.ndarray, curvature: np.ndarray
     if not strength * ratio:
         return -np.linalg.lstsq(bend, slope, rcond=None)[0]
     lasso = np.where(free, 0.0, strength * ratio)
+    usable = np.diag(bend) > 2e-12
+    pulled = slope - bend @ weights
     new = weights.copy()
-    for _ in range(10_000):
+    for turn in range(10_000):
         moved = 0.0
-        for j in range(len(new)):
-            if bend[j, j] <= 2e-12:
-                continue
-            pull = bend[j, j] * new[j] - (slope[j] + bend[j] @ (new - weights))
+        for j in np.flatnonzero(usable):
+            pull = bend[j, j] * new[j] - (pulled[j] + bend[j] @ new)
             value = np.sign(pull) * max(abs(pull) - lasso[j], 0.0) / bend[j, j]
             moved = max(moved, abs(value - new[j]))
             new[j] = value
         if moved < SETTLED / 100:
             break
+        if turn % 5 == 4:
+            exact = _minimum_with_signs(new, bend, pulled, lasso, usable)
+            if exact is not None:
+                return exact - weights
     return new - weights
 
 
+def _minimum_with_signs(new: np.ndarray, bend: np.ndarray, pulled: np.ndarray, lasso: np.ndarray, usable: np.ndarray) -> np.ndarray | None:
+    """The minimum if its weights have the signs of ``new``, else nothing.
+
+    With the signs known it is a linear system; columns that go together make coordinate
+    descent crawl, though its signs are right after a few turns.
+    """
+    on = usable & ((new != 0) | (lasso == 0))
+    exact = new.copy()
+    exact[on] = 0.0
+    right = -(pulled + lasso * np.sign(new) + bend @ exact)[on]
+    exact[on] = np.linalg.lstsq(bend[np.ix_(on, on)], right, rcond=None)[0]
+    slope = pulled + bend @ exact
+    slack = SETTLED / 100
+    same = np.all((np.sign(exact) == np.sign(new))[on & (lasso > 0)])
+    flat = np.all(np.abs(slope + lasso * np.sign(exact))[on] <= slack)
+    low = np.all(np.abs(slope)[usable & ~on] <= lasso[usable & ~on] + slack)
+    return exact if same and flat and low else None
+
+
 def _summed(rows: DataFrame, work, width: int) -> dict[int, np.ndarray]:
     """Per problem the sum over all tasks of what ``work(features, label, fold)`` gives for a batch."""
 
@@ -132,6 +157,15 @@ def _standards(rows: DataFrame, size: int, folds: int) -> dict[int, tuple[np.nda
     return out
 
 
+def _column_map(base: tuple[np.ndarray, np.ndarray], own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """What makes the columns standardized by ``own``, intercept first, out of those standardized by ``base``."""
+    (base_mean, base_scale), (mean, scale) = base, own
+    varies = base_scale > 0
+    out = np.diag(np.concatenate(([1.0], np.where(varies, scale / np.where(varies, base_scale, 1), 0.0))))
+    out[0, 1:] = (base_mean - mean) * scale
+    return out
+
+
 @dataclass
 class Search:
     """``table`` has (elastic_net, reg_param, accuracy); ``fits`` the weights of every setting on all rows."""
@@ -167,41 +201,47 @@ def grid_search(
     standards = _standards(rows, size, folds)
     settings = [(r, 1.0 / (s * max(total, 1))) for r in ratios for s in strengths]
     problems = [Problem(f, r, s, np.zeros(size + 1)) for f in [-1, *range(folds)] for r, s in settings]
-    width = 2 + (size + 1) + (size + 1) ** 2
+    # all problems look at the same columns; what they see of them is a linear map per fold
+    mean, scale = standards[-1]
+    maps = {f: _column_map(standards[-1], own) for f, own in standards.items()}
+    first, second = np.triu_indices(size + 1)
+    width = 2 + (size + 1) + len(first)
+
+    def columns(x):
+        return np.column_stack((np.ones(len(x)), (x - mean) * scale))
+
     passes = 0
     while passes < PASSES and not all(p.settled for p in problems):
-        at = {k: (p.fold, p.trial()) for k, p in enumerate(problems) if not p.settled}
-        groups: dict[int, list[int]] = {}
-        for k, (fold, _) in at.items():
-            groups.setdefault(fold, []).append(k)
-
-        def derivatives(x, y, fold, at=at, groups=groups):
-            for f, members in groups.items():
-                used = fold != f
-                if not used.any():
-                    continue
-                mean, scale = standards[f]
-                z = np.column_stack((np.ones(used.sum()), (x[used] - mean) * scale))
-                own = y[used]
-                logits = z @ np.array([at[k][1] for k in members]).T
-                chance = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
-                losses = (np.logaddexp(0, logits) - own[:, None] * logits).sum(axis=0)
-                slopes = z.T @ (chance - own[:, None])
-                for i, k in enumerate(members):
-                    bend = (z * (chance[:, i] * (1 - chance[:, i]))[:, None]).T @ z
-                    yield k, np.concatenate(([len(own), losses[i]], slopes[:, i], bend.ravel()))
+        at = [k for k, p in enumerate(problems) if not p.settled]
+        folds_of = np.array([problems[k].fold for k in at])
+        weights = np.column_stack([maps[problems[k].fold] @ problems[k].trial() for k in at])
+
+        def derivatives(x, y, fold, at=at, folds_of=folds_of, weights=weights):
+            z, own = columns(x), y[:, None]
+            used = fold[:, None] != folds_of
+            logits = z @ weights
+            small = np.exp(-np.abs(logits))
+            chance = np.where(logits >= 0, 1.0, small) / (1 + small)
+            losses = np.where(used, np.log1p(small) + np.maximum(logits, 0) - own * logits, 0).sum(axis=0)
+            slopes = z.T @ np.where(used, chance - own, 0)
+            bends = (z[:, first] * z[:, second]).T @ np.where(used, chance * (1 - chance), 0)
+            yield from zip(at, np.vstack((used.sum(axis=0), losses, slopes, bends)).T)
 
         for k, sums in _summed(rows, derivatives, width).items():
-            problems[k].learn(sums[0], sums[1], sums[2 : size + 3], sums[size + 3 :].reshape(size + 1, size + 1))
+            if sums[0]:
+                own, bend = maps[problems[k].fold], np.empty((size + 1, size + 1))
+                bend[first, second] = bend[second, first] = sums[size + 3 :]
+                problems[k].learn(sums[0], sums[1], own.T @ sums[2 : size + 3], own.T @ bend @ own)
         passes += 1
 
+    every = np.array([p.fold for p in problems])
+    final = np.column_stack([maps[p.fold] @ p.weights for p in problems])
+
     def hits(x, y, fold):
-        for k, p in enumerate(problems):
-            held = fold == p.fold
-            if held.any():
-                mean, scale = standards[p.fold]
-                called = p.weights[0] + ((x[held] - mean) * scale) @ p.weights[1:] > 0
-                yield k, np.array([held.sum(), (called == (y[held] == 1)).sum()], float)
+        held = fold[:, None] == every
+        right = held & ((columns(x) @ final > 0) == (y == 1)[:, None])
+        for k in np.flatnonzero(held.any(axis=0)):
+            yield k, np.array([held[:, k].sum(), right[:, k].sum()], float)
 
     found = _summed(rows, hits, 2)
     table = []
