@@ -213,3 +213,22 @@ def test_upsert_leaves_a_bucketed_target_where_it_lies(spark, tmp_path):
         if line.strip() and depth(line) < level:
             above, level = [*above, line], depth(line)
     assert any("LeftAnti" in line for line in above) and not any("Exchange" in line for line in above), plan
+
+
+def test_reports_by_customer_need_no_whole_fact(spark, tmp_path):
+    """They give the whole star's rows without building its fact and products."""
+    import shutil
+
+    from tidemark.operators import reports
+    from tidemark.plans import bases, retail
+    from tidemark.session import is_staged
+
+    folder = str(shutil.copytree("/root/testdata/sf0.001", tmp_path / "tables"))
+    top = retail.QUERIES["q4_top_customers"](spark, folder).collect()
+    shares = retail.QUERIES["q5_segment_share"](spark, folder).collect()
+    assert not any(is_staged(spark, folder, name) for name in ("fact_sales", "dim_product", "dim_customer"))
+    built = bases.star_tables(spark, folder)
+    fact, customers = built["fact_sales"], built["dim_customer"]
+    assert top == bases.publish(reports.top_customers(fact, customers)).collect() and len(top) == 10
+    assert shares == bases.publish(reports.segment_share(fact, customers)).collect()
+    assert top == retail.QUERIES["q4_top_customers"](spark, folder).collect()

@@ -24,15 +24,20 @@ SEGMENT_ACTIONS = [
 QUINTILES = {"e1": 0.2, "e2": 0.4, "e3": 0.6, "e4": 0.8}
 
 
-def rfm_base(sales: DataFrame) -> DataFrame:
-    """Days since the last purchase (to the day after the newest one), orders, revenue."""
+def rfm_base(sales: DataFrame, unique_orders: bool = False) -> DataFrame:
+    """Days since the last purchase (to the day after the newest one), orders, revenue.
+
+    Where order ids are known to be unique they are only counted: finding the distinct
+    ones would shuffle every line.
+    """
+    orders = F.count("order_id") if unique_orders else F.countDistinct("order_id")
     snapshot = sales.agg(F.date_add(F.max("inward_date"), 1)).scalar()
     return (
         sales.where(F.col("customer_name").isNotNull())
         .groupBy("customer_name")
         .agg(
             F.max("inward_date").alias("_last"),
-            F.countDistinct("order_id").alias("frequency"),
+            orders.alias("frequency"),
             F.sum("revenue").alias("monetary"),
         )
         .select(

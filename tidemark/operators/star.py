@@ -49,6 +49,22 @@ def dim_customer(sales: DataFrame, segments: DataFrame, keys: DataFrame | None =
     )
 
 
+def customer_segments(keys: DataFrame, segments: DataFrame) -> DataFrame:
+    """Key, name and segment of every customer: the columns of ``dim_customer`` that
+    need no look at the lines."""
+    scored = segments.select("customer_name", F.col("segment").alias("rfm_segment"))
+    return keys.join(scored, "customer_name", "left").select("customer_key", "customer_name", "rfm_segment")
+
+
+def customer_sales(sales: DataFrame, keys: DataFrame) -> DataFrame:
+    """The fact's columns for reports by customer: as ``fact_sales``, without the joins
+    with products and regions, which add no rows and take none."""
+    lines = sales.select("customer_name", "order_id", "revenue")
+    return lines.join(keys.select("customer_key", "customer_name"), "customer_name", "left").select(
+        "order_id", "customer_key", "revenue"
+    )
+
+
 def dim_product(sales: DataFrame) -> DataFrame:
     """Distinct five-column specs, keyed in spec order (nulls first)."""
     specs = sales.select(*PRODUCT_COLUMNS).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions import dates, numbers, text
 from tidemark.operators import clean, growth, ordered, reports, rfm, star
-from tidemark.plans.bases import Query, features, flat, registrar, sales, segments, star_tables
+from tidemark.plans.bases import Query, customer_star, features, flat, registrar, sales, segments, star_tables
 from tidemark.session import fresh_path
 from tidemark.sources import files, tables
 
@@ -335,14 +335,13 @@ def q3b_region_share_subq(spark, folder):
 
 @query
 def q4_top_customers(spark, folder):
-    built = star_tables(spark, folder)
-    return reports.top_customers(built["fact_sales"], built["dim_customer"])
+    fact, customers = customer_star(spark, folder)
+    return reports.top_customers(fact, customers, unique_orders=True)
 
 
 @query
 def q5_segment_share(spark, folder):
-    built = star_tables(spark, folder)
-    return reports.segment_share(built["fact_sales"], built["dim_customer"])
+    return reports.segment_share(*customer_star(spark, folder))
 
 
 @query
