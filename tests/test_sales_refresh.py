@@ -93,3 +93,20 @@ def test_counted_quantiles_are_those_of_the_rows(spark):
     got = {r.grp: (r.lo, r.mid) for r in sales.counted_quantiles(counts, {"lo": 0.1, "mid": 0.5}).collect()}
     want = df.groupBy("grp").agg(F.percentile("value", F.lit(0.1)).alias("lo"), F.percentile("value", F.lit(0.5)).alias("mid"))
     assert {r.grp: pytest.approx((r.lo, r.mid)) for r in want.collect()} == got
+
+
+def test_a_batch_deals_its_lines_once(spark, places, monkeypatch):
+    """The shuffle by bucket serves the deduplication and the write."""
+    rng = random.Random(3)
+    plans, whole = [], clean.dedupe_sales
+
+    def seen(raw, together=None):
+        out = whole(raw, together)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(clean, "dedupe_sales", seen)
+    for number in range(2):
+        sales.merge_batch(table(spark, lines(rng, range(number * 40, number * 40 + 60))), number, places[1], 8)
+    merged = plans[1::2]
+    assert len(merged) == 2 and all(p.count("Exchange ") == p.count("Exchange hashpartitioning(bucket") == 1 for p in merged)

@@ -94,8 +94,10 @@ def merge_batch(batch: DataFrame, number: int, sink: str, buckets: int = BUCKETS
     touched = {r["bucket"] for r in landed.select("bucket").distinct().collect()}  # at most ``buckets``
     versions = {int(name): n for item, name, n in prior if item == "lines"}
     old = _lines(spark, sink, {b: n for b, n in versions.items() if b in touched}, batch.schema)
-    merged = clean.dedupe_sales(old.unionByName(landed.drop("bucket"))).withColumn("bucket", _bucket(buckets))
-    merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{sink}/lines/batch={number}")
+    # at most two lines per id from here on: they are dealt by bucket once, for the deduplication and for the write
+    dealt = old.withColumn("bucket", _bucket(buckets)).unionByName(landed).repartition(buckets, "bucket")
+    merged = clean.dedupe_sales(dealt, F.col("bucket"))
+    merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{sink}/lines/batch={number}")
     versions |= dict.fromkeys(touched, number)
 
     now = value_counts(clean.repair_text(_lines(spark, sink, {b: number for b in touched}, batch.schema)))
