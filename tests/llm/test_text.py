@@ -135,6 +135,17 @@ def test_ids_equal_the_merge_loop(entries, reference, at_spaces):
         assert own.decode(ids) == text.encode()
 
 
+def test_kept_stretches_stay_few(entries, reference):
+    own = bpe.Codec(entries, public_tokenizers.PATTERN, at_spaces=True)
+    texts = [" ".join(f"the{i:x}q" for i in range(first, first + 3000)) for first in range(0, 180_000, 3000)]
+    kept = 0
+    for text in texts:
+        assert own.encode(text) == reference.encode_ordinary(text)
+        kept = max(kept, len(own.known) + len(getattr(own.known, "earlier", ())))
+    assert kept <= 1 << 17
+    assert len(own.compatible) <= 1 << 17
+
+
 def test_encoded_table(spark, entries, data):
     table = spark.read.parquet(f"{data}/documents.parquet")
     reference = tiktoken.Encoding(

@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import arrow_rows
 
-MEMO = 1 << 20     # pairs of tokens kept per task
-UNITS = 1 << 20    # encoded stretches of text kept per task
+MEMO = 1 << 17     # pairs of tokens kept per worker process
+UNITS = 1 << 17    # encoded stretches of text kept per worker process
 LONG = 48          # longer stretches are encoded each time they are met
 
 #: White space before a space: there a match may span the space.
@@ -49,21 +49,29 @@ def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
 
 
 class _Memo(dict):
-    """Ids of stretches of text; starts anew when it is full."""
+    """Ids of stretches of text; when half of ``UNITS`` is full it starts anew.
+
+    The half before is kept beside it until then, and what is met again comes over,
+    so frequent stretches stay.
+    """
 
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec = codec
+        self.earlier: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, unit: str) -> tuple[int, ...]:
-        own = self.codec
-        pieces = own.split_pieces(unit)
-        if len(pieces) == 1:
-            ids = own.encode_piece(unit.encode())
-        else:
-            ids = tuple(chain.from_iterable(map(self.__getitem__, pieces)))
+        ids = self.earlier.get(unit)
+        if ids is None:
+            own = self.codec
+            pieces = own.split_pieces(unit)
+            if len(pieces) == 1:
+                ids = own.encode_piece(unit.encode())
+            else:
+                ids = tuple(chain.from_iterable(map(self.__getitem__, pieces)))
         if len(unit) <= LONG:
-            if len(self) >= UNITS:
+            if len(self) >= UNITS // 2:
+                self.earlier = dict(self)
                 self.clear()
             self[unit] = ids
         return ids
