@@ -136,7 +136,7 @@ def test_ids_equal_the_merge_loop(entries, reference, at_spaces):
 
 
 def test_kept_stretches_stay_few(entries, reference):
-    own = bpe.Codec(entries, public_tokenizers.PATTERN, at_spaces=True)
+    own = bpe.Codec(entries, public_tokenizers.PATTERN, at_spaces=True, kept=1 << 17)
     texts = [" ".join(f"the{i:x}q" for i in range(first, first + 3000)) for first in range(0, 180_000, 3000)]
     kept = 0
     for text in texts:

@@ -27,8 +27,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import arrow_rows
 
-MEMO = 1 << 17     # pairs of tokens kept per worker process
-UNITS = 1 << 17    # encoded stretches of text kept per worker process
+KEPT = 1 << 20     # encoded stretches of text, and pairs of tokens, kept per worker process
 LONG = 48          # longer stretches are encoded each time they are met
 
 #: White space before a space: there a match may span the space.
@@ -49,7 +48,7 @@ def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
 
 
 class _Memo(dict):
-    """Ids of stretches of text; when half of ``UNITS`` is full it starts anew.
+    """Ids of stretches of text; when half of the codec's ``kept`` is full it starts anew.
 
     The half before is kept beside it until then, and what is met again comes over,
     so frequent stretches stay.
@@ -70,7 +69,7 @@ class _Memo(dict):
             else:
                 ids = tuple(chain.from_iterable(map(self.__getitem__, pieces)))
         if len(unit) <= LONG:
-            if len(self) >= UNITS // 2:
+            if len(self) >= self.codec.kept // 2:
                 self.earlier = dict(self)
                 self.clear()
             self[unit] = ids
@@ -85,8 +84,9 @@ class Codec:
     there first, and the stretches are looked up whole.
     """
 
-    def __init__(self, entries: list[bytes], pattern: str, at_spaces: bool = False):
+    def __init__(self, entries: list[bytes], pattern: str, at_spaces: bool = False, kept: int = KEPT):
         self.entries = entries
+        self.kept = kept
         self.ranks = {entry: i for i, entry in enumerate(entries)}
         self.split_pieces = regex.compile(pattern).findall
         self.shorter = [self._shorter(entry) for entry in entries]
@@ -154,7 +154,7 @@ class Codec:
         key = (left, right)
         known = self.compatible.get(key)
         if known is None:
-            if len(self.compatible) >= MEMO:
+            if len(self.compatible) >= self.kept:
                 self.compatible.clear()
             known = self.compatible[key] = self._fits(left, right)
         return known
@@ -203,29 +203,30 @@ class Codec:
 _codecs: dict[tuple, Codec] = {}
 
 
-def codec(entries: list[bytes], pattern: str, at_spaces: bool) -> Codec:
+def codec(entries: list[bytes], pattern: str, at_spaces: bool, kept: int) -> Codec:
     """The codec of this worker process; it is made once and serves all its tasks."""
-    key = (hashlib.sha256(b"\n".join(map(base64.b64encode, entries))).hexdigest(), pattern, at_spaces)
+    key = (hashlib.sha256(b"\n".join(map(base64.b64encode, entries))).hexdigest(), pattern, at_spaces, kept)
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(entries, pattern, at_spaces)
+        _codecs[key] = Codec(entries, pattern, at_spaces, kept)
     return _codecs[key]
 
 
 def encode(
-    df: DataFrame, entries: list[bytes], pattern: str, keys: list[str], text: str = "text", at_spaces: bool = False
+    df: DataFrame, entries: list[bytes], pattern: str, keys: list[str], text: str = "text", at_spaces: bool = False,
+    kept: int = KEPT,
 ) -> DataFrame:
     """The key columns, ``ids`` (array of int) and ``decoded`` (the bytes of the ids again).
 
     Null and empty texts have no ids and no bytes.  Ids of special tokens are
     never made.  Keys are carried as they are, null or repeated; an empty table
     gives an empty result.  The vocabulary is sent to the workers (its size does
-    not depend on the data).
+    not depend on the data).  Fewer ``kept`` stretches need less memory and more time.
     """
     sent = df.sparkSession.sparkContext.broadcast(entries)
 
     def setup():
-        return codec(sent.value, pattern, at_spaces)
+        return codec(sent.value, pattern, at_spaces, kept)
 
     def work(own, texts, *columns):
         ids = [own.encode(t) if t else [] for t in texts]
